@@ -24,6 +24,31 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_with_edits(documents(spark, sf_dir))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pageloom.llm.secrets import BASE_KINDS, scan
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    found = scan(documents(spark, sf_dir))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pageloom.llm.packing import pack
+
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.mixing import mix_sources
 
@@ -67,6 +92,8 @@ FROM c
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_fingerprints": op6_fingerprints,
+    "op7_secrets": op7_secrets,
+    "op8_packing": op8_packing,
     "op10_mixing": op10_mixing,
 }
 
