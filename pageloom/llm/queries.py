@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import documents
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pageloom.llm.quality import score, train
+
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    model = train(docs, labels, "quality", learn_from=~held_out)
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.sharding import shard
 
@@ -90,6 +99,7 @@ FROM c
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op5_sharding": op5_sharding,
     "op6_fingerprints": op6_fingerprints,
     "op7_secrets": op7_secrets,
