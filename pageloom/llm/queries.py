@@ -58,6 +58,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pageloom.llm.jaccard import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir), width=3, percent=90)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.mixing import mix_sources
 
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
     "op7_secrets": op7_secrets,
     "op8_packing": op8_packing,
+    "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
 }
 

@@ -13,8 +13,8 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-#: Bytes worked on at once; one longer document is one piece of its own.
-PIECE_BYTES = 2 << 20
+#: Bytes and documents worked on at once; one longer document is one piece of its own.
+PIECE_BYTES, PIECE_ROWS = 2 << 20, 4000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -119,7 +119,7 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[Piece]:
     data, offsets = text_buffers(column)
     first, n = 0, len(offsets) - 1
     while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        last = min(max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1), first + PIECE_ROWS)
         yield Piece(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         first = last
 
