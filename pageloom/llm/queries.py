@@ -19,6 +19,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pageloom.llm.suffix_dedup import remove_repeats
+
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return remove_repeats(documents(spark, sf_dir), 400).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.sharding import shard
 
@@ -106,6 +115,7 @@ FROM c
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
     "op6_fingerprints": op6_fingerprints,
     "op7_secrets": op7_secrets,
