@@ -19,6 +19,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pageloom.llm.lm import score_texts
+
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return score_texts(documents(spark, sf_dir), learn_from=~held_out).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.suffix_dedup import remove_repeats
 
@@ -115,6 +124,7 @@ FROM c
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_lm": op3_lm,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
     "op6_fingerprints": op6_fingerprints,
