@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import documents
 
 
+def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pageloom.llm.search import top_k
+
+    return top_k(documents(spark, sf_dir), F.col("doc_id") % 50 == 0, k=10)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.quality import score, train
 
@@ -123,6 +129,7 @@ FROM c
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_search": op1_search,
     "op2_quality": op2_quality,
     "op3_lm": op3_lm,
     "op4_suffix_dedup": op4_suffix_dedup,
