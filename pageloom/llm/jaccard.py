@@ -1,9 +1,13 @@
 """N-gram Jaccard join: all pairs of texts whose shingle sets reach a similarity, by grouped prefix join.
 
 Sets are put in one global order, frequent shingles last.  Two sets of similarity t share an element among
-their first n - ceil(t n) + 1.  Sets with the same prefix and size form one group; a group stands for its
-members in the candidate step, where it is linked to the least group under each of its prefix elements.
-That star has one link per row where all pairs of a bucket would have had a square of them.
+their first n - ceil(t n) + 1.  Sets with the same prefix and size form one group, which stands for its
+members in the candidate step.  Groups that meet under a prefix element are filtered in pairs by size and by
+bitmap: bit h mod B of a set's bitmap is the parity of its elements there, so two bitmaps differ in at most
+as many bits as the sets have unshared elements, and pairs that differ in more cannot link.  What passes is
+kept as a spanning forest.  Under an element with more than ``BUCKET_GROUPS`` groups, and for groups with several
+distinct sets, the filter is skipped and groups are linked to the least group there instead, which is looser
+but needs one row each.
 
 Connected candidate groups are then expanded into their distinct member sets and verified, each within a
 task: small families share tasks, large ones are cut by set size into blocks of bounded count, and every
@@ -39,6 +43,12 @@ from pageloom.llm.textops import Piece, lowered, mix64, pieces, repeat_ranges
 FREQUENT = 1 << 17
 #: Shingles among which a partition looks for repeats at a time, and the repeats that count.
 REPEAT_WINDOW, REPEATS = 2_000_000, 3
+#: Groups under one element that are compared with each other.
+BUCKET_GROUPS = 2000
+#: Elements a set may have per 512 bits of its bitmap.
+BITMAP_WORDS, BITMAP_LOAD = 8, 900
+#: Rows of (element, group) that a task compares.
+MEETINGS_PER_TASK = 50_000
 #: Sets verified by one task against each other.
 BLOCK_SETS = 1500
 #: Candidate rows up to this many are sent to every task; beyond, the join shuffles.
@@ -162,12 +172,62 @@ def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     if n[d] and g not in seen:
                         seen.add(g)
                         shown[d] = prefix[d]
+                maps = [bitmap(elements[a:b]) if k else None for a, b, k in zip(starts.tolist(), bounds[1:].tolist(), shown.tolist(), strict=True)]
                 flat = elements[repeat_ranges(starts, shown)].astype(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(shown)]).astype(np.int32)), pa.array(flat))
                 ids = batch.column(0).slice(piece.first_row, piece.rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(key), pa.array(group), lists], ["doc_id", "n", "key", "group", "prefix"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, key long, group long, prefix array<long>")
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(key), pa.array(group), lists, pa.array(maps, pa.binary())], ["doc_id", "n", "key", "group", "prefix", "bitmap"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, key long, group long, prefix array<long>, bitmap binary")
+
+
+def bitmap(elements: np.ndarray) -> bytes:
+    """Parities of the set's elements by hash; a longer map folds into a shorter one by exclusive or."""
+    words = BITMAP_WORDS
+    while len(elements) > BITMAP_LOAD * words // BITMAP_WORDS:
+        words *= 2
+    bit = (mix64(elements + np.uint64(7)) >> np.uint64(20)).astype(np.int64) & (words * 64 - 1)
+    return np.packbits((np.bincount(bit, minlength=words * 64) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(maps: list[bytes | None]) -> np.ndarray:
+    out = np.zeros((len(maps), BITMAP_WORDS), np.uint64)
+    for k, m in enumerate(maps):
+        if m is not None:
+            out[k] = np.bitwise_xor.reduce(np.frombuffer(m, np.uint64).reshape(-1, BITMAP_WORDS), axis=0)
+    return out
+
+
+def _differing(a: bytes, b: bytes) -> int:
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def bucket_links(element: np.ndarray, group: np.ndarray, n: np.ndarray, maps: list[bytes | None], percent: int) -> np.ndarray:
+    """Pairs of groups that meet under an element and may link (or a forest of them); rows come sorted by element."""
+    short = _folded(maps)
+    wild = np.array([m is None for m in maps])
+    found = [np.zeros((0, 2), np.int64)]
+    sizes = np.diff(np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1], [True]])))
+    for d in range(1, int(sizes.max(initial=1))):
+        k = np.flatnonzero(element[:-d] == element[d:])
+        if not len(k):
+            break
+        a, b = n[k], n[k + d]
+        most = (100 - percent) * (a + b) // (100 + percent)
+        near = (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent) & (wild[k] | wild[k + d] | (np.bitwise_count(short[k] ^ short[k + d]).sum(1) <= most))
+        k, most = k[near], most[near]
+        long = np.flatnonzero((np.maximum(n[k], n[k + d]) > BITMAP_LOAD) & ~wild[k] & ~wild[k + d])
+        if len(long):
+            keep = np.ones(len(k), bool)
+            keep[long] = [_differing(maps[i], maps[i + d]) <= m for i, m in zip(k[long].tolist(), most[long].tolist(), strict=True)]
+            k = k[keep]
+        found.append(np.unique(np.stack([group[k], group[k + d]], 1), axis=0))
+        if sum(map(len, found)) > 500_000:
+            found = [np.unique(np.concatenate(found), axis=0)]
+    return np.unique(np.concatenate(found), axis=0)
 
 
 def link_block(elements: np.ndarray, bounds: np.ndarray, percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -243,13 +303,28 @@ def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[D
     similarity is at least ``percent`` of 100.
     """
     rows = cut_lineage(set_rows(docs, width, percent))
-    postings = rows.where(F.size("prefix") > 0).select("group", F.explode("prefix").alias("element"))
-    least = postings.groupBy("element").agg(F.min("group").alias("a"), F.max("group").alias("_b")).where("a <> _b").select("element", "a")
-    stars = postings.join(least, "element").where("group <> a").select("a", F.col("group").alias("b"))
-    families = components(stars)
-
     sets = rows.where("n > 0").groupBy("key", "group").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"))
     crowded = sets.groupBy("group").agg(F.min("key").alias("_x"), F.max("key").alias("_y")).where("_x <> _y").select(F.col("group").alias("node"))
+    shown = rows.where(F.size("prefix") > 0).select("group", "n", "prefix", "bitmap").dropDuplicates(["group"])
+    shown = shown.join(crowded.withColumn("_wild", F.lit(True)), F.col("group") == F.col("node"), "left").drop("node")
+    groups = cut_lineage(shown.withColumn("bitmap", F.when(F.col("_wild").isNull(), F.col("bitmap"))).drop("_wild"))
+
+    postings = groups.select("group", F.explode("prefix").alias("element"))
+    shared = cut_lineage(postings.groupBy("element").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("a")).where("c > 1"))
+    met = postings.join(shared, "element")
+    stars = met.where((F.col("c") > BUCKET_GROUPS) & (F.col("group") != F.col("a"))).select("a", F.col("group").alias("b"))
+    meetings = shared.where(F.col("c") <= BUCKET_GROUPS).agg(F.sum("c")).first()[0] or 0
+    tasks = max(1, int(meetings) // MEETINGS_PER_TASK + 1)
+    few = met.where(F.col("c") <= BUCKET_GROUPS).select("element", "group").join(groups.select("group", "n", "bitmap"), "group")
+
+    def filtered(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([("element", "ascending"), ("group", "ascending")])
+        element, group, n = (table.column(c).to_numpy() for c in ("element", "group", "n"))
+        pairs = bucket_links(element, group, n, table.column("bitmap").to_pylist(), percent)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    close = few.withColumn("_task", F.pmod(F.xxhash64("element"), F.lit(tasks))).groupBy("_task").applyInArrow(filtered, "a long, b long")
+    families = components(stars.union(close))
     families = families.union(crowded.join(families, "node", "left_anti").select("node", F.col("node").alias("component")))
     members = cut_lineage(
         sets.join(families.select(F.col("node").alias("group"), F.col("component").alias("family")), "group").where("node is not null").select("node", "n", "family", "key")
