@@ -37,6 +37,10 @@ GRAM = 32
 STEP = 3 << 20
 #: Bytes of segments that a shard's suffix array has, about, and distinct segments of an anchor per shard.
 SHARD_BYTES, SHARD_SEGMENTS = 1_000_000, 1200
+#: Windows that a merge looks at, about, and the parts that a shard's windows are cut into at most.
+MERGE_WINDOWS, MERGE_PARTS = 500_000, 200
+#: Slots of the sieve that keeps texts without repeats out of shuffles: a bound on what is broadcast.
+SIEVE_SLOTS = 1 << 20
 
 
 def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -124,63 +128,84 @@ def _ranges(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return owner[new], start[new], start[last]
 
 
-_MARKS = "anchor long, segment long, lo long, hi long, shard string, window long"
-_NAMES = ["anchor", "segment", "lo", "hi", "shard", "window"]
+_MARKS = "anchor long, segment long, lo long, hi long, shard string, part long, windows binary"
+_NAMES = ["anchor", "segment", "lo", "hi", "shard", "part", "windows"]
+#: A published window: its hash, and the segment and start it stands for.
+_WINDOW = np.dtype([("hash", "<u8"), ("segment", "<i8"), ("start", "<i8")])
 
 
-def _mark_table(anchor, segment, lo, hi, shard=None, window=None) -> pa.Table:
+def _mark_table(anchor, segment, lo, hi) -> pa.Table:
     n = len(anchor)
+    columns = [pa.array(x, pa.int64()) for x in (anchor, segment, lo, hi)]
+    return pa.table([*columns, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], names=_NAMES)
+
+
+def _published(anchor: int, shard: str, parts: int, windows: np.ndarray) -> pa.Table:
+    """An anchor's windows in one shard, sorted by hash and cut at even hash bounds: one row per part."""
+    windows = np.sort(windows, order="hash")
+    bounds = np.searchsorted(windows["hash"], np.array([(k << 64) // parts for k in range(parts)], np.uint64))
+    bounds = np.append(bounds, len(windows))
+    own = [k for k in range(parts) if bounds[k] < bounds[k + 1]]
+    none = pa.nulls(len(own), pa.int64())
     return pa.table(
-        [
-            pa.array(anchor, pa.int64()), pa.array(segment, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()),
-            pa.array([shard] * n, pa.string()), pa.nulls(n, pa.int64()) if window is None else pa.array(window, pa.int64()),
-        ],
+        [pa.array([anchor] * len(own), pa.int64()), none, none, none, pa.array([shard] * len(own)), pa.array(own, pa.int64()), pa.array([windows[bounds[k] : bounds[k + 1]].tobytes() for k in own], pa.binary())],
         names=_NAMES,
-    )
+    )
 
 
 def _sharded(parts: DataFrame, span: int) -> DataFrame:
-    """Per shard: ranges of starts that repeat within it; for split anchors also the hashes of all windows."""
+    """Per shard: ranges of starts that repeat within it; for split anchors also all their windows, published."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        anchor, segment = table.column("anchor").to_numpy(), table.column("segment").to_numpy()
-        data, split = table.column("bytes").to_pylist(), np.asarray(table.column("split").to_pylist(), bool)
+        anchor, segment, split = (table.column(c).to_numpy() for c in ("anchor", "segment", "parts"))
+        data = table.column("bytes").to_pylist()
         windows = np.array([len(s) - span + 1 for s in data], np.int64)
         owner, start, kind = repeated_starts(data, windows, span)
         often = np.bincount(kind, minlength=int(kind.max()) + 1)
         again = often[kind] > 1
         o, lo, hi = _ranges(owner[again], start[again])
         out = [_mark_table(anchor[o], segment[o], lo, hi)]
-        for k in np.flatnonzero(split).tolist():
-            prefix = prefix_hashes(np.frombuffer(data[k], np.uint8))
-            s = np.arange(windows[k])
-            hashes = span_hashes(prefix, s, s + span).view(np.int64)
-            out.append(_mark_table(np.full(len(s), anchor[k]), np.full(len(s), segment[k]), s, s, table.column("shard")[0].as_py(), hashes))
+        # A split anchor has a shard to itself, or rather several.
+        if split[0]:
+            found = []
+            for k, s in enumerate(data):
+                w = np.empty(windows[k], _WINDOW)
+                at = np.arange(windows[k])
+                w["hash"], w["segment"], w["start"] = span_hashes(prefix_hashes(np.frombuffer(s, np.uint8)), at, at + span), segment[k], at
+                found.append(w)
+            out.append(_published(int(anchor[0]), table.column("shard")[0].as_py(), int(split[0]), np.concatenate(found)))
         return pa.concat_tables(out)
 
     return parts.groupBy("shard").applyInArrow(run, _MARKS)
 
 
-def _merged(windows: DataFrame, n_tasks: int) -> DataFrame:
+def _merged(published: DataFrame) -> DataFrame:
     """Windows of split anchors that another shard has too, found by binary search in the others' sorted hashes."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        hashes = table.column("window").to_numpy()
-        shard = np.unique(np.array(table.column("shard").to_pylist()), return_inverse=True)[1]
-        lists = [np.sort(hashes[shard == s]) for s in range(shard.max() + 1)]
-        elsewhere = np.zeros(len(hashes), bool)
-        for s, own in enumerate(lists):
-            at = np.searchsorted(own, hashes)
-            held = own[np.minimum(at, len(own) - 1)] == hashes
-            elsewhere |= held & (shard != s)
-        kept = np.flatnonzero(elsewhere)
-        return _mark_table(*(table.column(c).to_numpy()[kept] for c in ("anchor", "segment", "lo", "hi")))
-
-    return windows.withColumn("_part", F.pmod("window", F.lit(n_tasks))).groupBy("_part").applyInArrow(
-        lambda t: run(t.drop_columns(["_part"])), _MARKS
-    )
+        lists = [np.frombuffer(w, _WINDOW) for w in table.column("windows").to_pylist()]
+        hit = []
+        for k, own in enumerate(lists):
+            elsewhere = np.zeros(len(own), bool)
+            for other in lists[:k] + lists[k + 1 :]:
+                at = np.minimum(np.searchsorted(other["hash"], own["hash"]), len(other) - 1)
+                elsewhere |= other["hash"][at] == own["hash"]
+            hit.append(own[elsewhere])
+        found = np.sort(np.concatenate(hit), order=("segment", "start"))
+        segment, lo, hi = _ranges(found["segment"], found["start"])
+        return _mark_table(np.full(len(segment), table.column("anchor")[0].as_py()), segment, lo, hi)
+
+    return published.groupBy("anchor", "part").applyInArrow(run, _MARKS)
+
+
+def _slot(key: str):
+    return F.pmod(F.col(key), F.lit(SIEVE_SLOTS)).cast("int")
+
+
+def _slots(rows: DataFrame, key: str) -> DataFrame:
+    """The sieve: slots that any of the keys falls into, SIEVE_SLOTS rows at most, so safe to broadcast."""
+    return F.broadcast(rows.select(_slot(key).alias("_slot")).distinct())
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
@@ -200,24 +225,23 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     parts_of = F.ceil(F.col("kinds") / SHARD_SEGMENTS)
     wanted = several.select(
         "anchor", "segment", F.col("at.doc_id").alias("doc_id"), F.col("at.text_key").alias("text_key"), F.col("at.first").alias("first"), F.col("at.last").alias("last"),
-        (parts_of > 1).alias("split"),
+        F.when(parts_of > 1, F.least(F.lit(MERGE_PARTS), F.ceil(F.col("kinds") * (span - GRAM) / 2 / MERGE_WINDOWS))).otherwise(F.lit(0)).cast("long").alias("parts"),
         F.when(parts_of > 1, F.concat_ws(":", F.lit("p"), "anchor", F.pmod("segment", parts_of.cast("long"))))
         .otherwise(F.concat(F.lit("s"), F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("string"))).alias("shard"),
     )
-    per_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "segment", "first", "last", "split", "shard")).alias("cuts"))
+    per_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "segment", "first", "last", "parts", "shard")).alias("cuts"))
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where(F.octet_length("text") >= span)
+    texts = texts.join(_slots(wanted, "text_key"), _slot("text_key") == F.col("_slot"), "left_semi")
     one = (
         texts.join(per_text, (texts["text_key"] == per_text["text_key"]) & texts["doc_id"].eqNullSafe(per_text["doc_id"]))
         .select("text", F.explode("cuts").alias("c"))
         .select("c.*", F.substring(F.col("text").cast("binary"), F.col("c.first").cast("int") + 1, (F.col("c.last") - F.col("c.first")).cast("int") + span).alias("bytes"))
         .dropDuplicates(["shard", "anchor", "segment"])
-        .select("shard", "anchor", "segment", "split", "bytes")
+        .select("shard", "anchor", "segment", "parts", "bytes")
     )
     sharded = cut_lineage(_sharded(one, span))
-    across = sharded.where("window is not null")
-    n_tasks = max(1, int(across.count()) // 500_000)
-    marks = whole.union(sharded.where("window is null").select("anchor", "segment", "lo", "hi")).union(
-        _merged(across, n_tasks).select("anchor", "segment", "lo", "hi")
+    marks = whole.union(sharded.where("windows is null").select("anchor", "segment", "lo", "hi")).union(
+        _merged(sharded.where("windows is not null")).select("anchor", "segment", "lo", "hi")
     )
     removed = (
         found.join(marks, ["anchor", "segment"])
@@ -225,6 +249,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
         .agg(F.array_sort(F.collect_set(F.struct((F.col("first") + F.col("lo")).alias("start"), (F.col("first") + F.col("hi") + span).alias("end")))).alias("ranges"))
         .select(F.col("text_key").alias("_key"), "ranges")
     )
+    removed = cut_lineage(removed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -247,8 +272,11 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(item)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
     every = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("_text_key"))
-    return (
-        every.join(removed, F.col("_text_key") == F.col("_key"), "left")
+    slots = _slots(removed, "_key")
+    untouched = every.join(slots, _slot("_text_key") == F.col("_slot"), "left_anti").select("doc_id", "text", F.lit(None).cast(removed.schema["ranges"].dataType).alias("ranges"))
+    touched = (
+        every.join(slots, _slot("_text_key") == F.col("_slot"), "left_semi")
+        .join(removed, F.col("_text_key") == F.col("_key"), "left")
         .select("doc_id", "text", "ranges")
-        .mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     )
+    return untouched.union(touched).mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
