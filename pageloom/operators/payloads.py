@@ -76,9 +76,9 @@ def _first_true(*values: Column) -> Column:
 def enrich_chunks(rows: DataFrame, profiles: DataFrame, chapters: DataFrame) -> DataFrame:
     """(doc_id, item_id, payload) -> all chunk fields, missing ones from packet, then chapter, then defaults."""
     p = profiles.select("doc_id", F.col("packet_id").alias("item_id"), F.col("packet_kind").alias("_pk"), F.col("role_in_book").alias("_pr"), F.col("priority_weight").alias("_pw"))
-    c = chapters.select("doc_id", F.col("chapter_title").alias("_ct"), F.col("chapter_kind").alias("_ck"), F.col("priority_weight").alias("_cw"))
+    c = chapters.select(F.col("doc_id").alias("_cd"), F.col("chapter_title").alias("_ct"), F.col("chapter_kind").alias("_ck"), F.col("priority_weight").alias("_cw"))
     parsed = _parsed(rows, CHUNK_TYPE)
-    joined = parsed.join(p, ["doc_id", "item_id"], "left").join(c, (parsed["doc_id"] == c["doc_id"]) & (F.col("p.chapter_title") == F.col("_ct")), "left").drop(c["doc_id"])
+    joined = parsed.join(p, ["doc_id", "item_id"], "left").join(c, (F.col("doc_id") == F.col("_cd")) & (F.col("p.chapter_title") == F.col("_ct")), "left")
     kind = _first_true(F.col("p.packet_kind"), F.col("_pk"), F.col("_ck"), F.lit("mixed"))
     none = F.array().cast(_STRINGS)
     listed = lambda f: F.coalesce(f"p.{f}", none)
@@ -93,9 +93,9 @@ def enrich_chunks(rows: DataFrame, profiles: DataFrame, chapters: DataFrame) ->
 
 def enrich_chapters(rows: DataFrame, chapters: DataFrame) -> DataFrame:
     """(doc_id, item_id, payload) -> all chapter fields, missing ones from the map, then the payload itself."""
-    c = chapters.select("doc_id", F.col("chapter_title").alias("_ct"), F.col("chapter_kind").alias("_ck"), F.col("priority_weight").alias("_cw"))
+    c = chapters.select(F.col("doc_id").alias("_cd"), F.col("chapter_title").alias("_ct"), F.col("chapter_kind").alias("_ck"), F.col("priority_weight").alias("_cw"))
     parsed = _parsed(rows, CHAPTER_TYPE)
-    joined = parsed.join(c, (parsed["doc_id"] == c["doc_id"]) & (F.col("p.chapter_title") == F.col("_ct")), "left").drop(c["doc_id"])
+    joined = parsed.join(c, (F.col("doc_id") == F.col("_cd")) & (F.col("p.chapter_title") == F.col("_ct")), "left")
     kind = _first_true(F.col("p.chapter_kind"), F.col("_ck"), F.lit("mixed"))
     none = F.array().cast(_STRINGS)
     listed = lambda f: F.coalesce(f"p.{f}", none)

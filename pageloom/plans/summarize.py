@@ -142,13 +142,15 @@ def assemble(finals: DataFrame, verified: DataFrame | None = None) -> DataFrame:
 def run_with(docs: DataFrame, clients: dict[str, payloads.ModelClient], config: Config = Config()) -> DataFrame:  # noqa: B008
     """All stages with a model behind each: documents -> (doc_id, markdown).  For few documents; stages depend in turn."""
     s = structure(docs, config)
+    # Every stage reads the structure again: it is kept, and stages in between are too.
+    s = Structure(s.titles, s.sections.persist(), s.packets.persist(), s.profiles.persist(), s.chapters.persist())
     key = F.concat_ws("\x1f", F.col("doc_id").cast("string"), "item_id")
 
     def answers(prompts: DataFrame, stage: str) -> DataFrame:
         got = clients[stage].run(prompts.withColumn("item_id", key))
         parts = F.split("item_id", "\x1f")
         split = got.select(F.get(parts, F.lit(0)).alias("doc_id"), F.get(parts, F.lit(1)).alias("item_id"), "payload")
-        return payloads.validate(split, stage)
+        return payloads.validate(split, stage).persist()
 
     chunks = payloads.enrich_chunks(answers(chunk_prompts(s), "chunk"), s.profiles, s.chapters)
     titled = chunks.drop("chapter_title").join(s.profiles.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("packet_id").alias("item_id"), "chapter_title"), ["doc_id", "item_id"])
