@@ -36,7 +36,7 @@ BLOCK_SEQUENCES = 256
 #: Cost of a token by itself and with each other token of its piece: an attention layer's share at this width.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Distinct words, and distinct parts of words, that a worker keeps before it starts anew.
-CACHE_WORDS, CACHE_PARTS = 600_000, 500_000
+CACHE_WORDS, CACHE_PARTS = 1_000_000, 1_000_000
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -55,46 +55,48 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._parts: dict[str, list[int]] = {}
+        self._parts: dict[str, bytes] = {}
         self._reset()
 
     def _reset(self) -> None:
         self._index: dict[int, int] = {}
         self._ids = np.zeros(1 << 16, np.int32)
-        self._starts, self._used = [0], 0
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self._starts, self._used = np.zeros(1, np.int64), 0
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.int32).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parts_of(self, word: bytes) -> list[str] | None:
+        """The vocabulary's own split of a word, or None where only the tokenizer itself should say."""
+        if word.isascii():
+            text = word.decode().lower()
+            if text.isalpha():
+                return [text]
+            if any(s in word for s in self._special) or not _SIMPLE.fullmatch(text):
+                return None
+        else:
+            text = word.decode("utf-8", "replace")
+            if any(s in word for s in self._special) or not _SIMPLE.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
+                return None
+            text = text.lower()
+        return _PARTS.findall(text)
 
     def _learn(self, hashes: list[int], words: list[bytes]) -> None:
-        simple: list[list[str] | None] = []
-        whole: list[str] = []
-        missing: dict[str, None] = {}
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            if _SIMPLE.fullmatch(text) and not any(s in w for s in self._special) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-                parts = _split(text.lower())
-                simple.append(parts)
-                for p in parts:
-                    if p not in self._parts:
-                        missing[p] = None
-            else:
-                simple.append(None)
-                whole.append(text)
-        if missing:
-            fresh = list(missing)
-            self._parts.update(zip(fresh, self._encode(fresh), strict=True))
-        others = iter(self._encode(whole) if whole else ())
         known = self._parts
-        for h, parts in zip(hashes, simple, strict=True):
-            ids = next(others) if parts is None else known[parts[0]] if len(parts) == 1 else [i for p in parts for i in known[p]]
-            end = self._used + len(ids)
-            if end > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros(max(len(self._ids), end), np.int32)])
-            self._ids[self._used : end] = ids
-            self._used = end
-            self._index[h] = len(self._starts) - 1
-            self._starts.append(end)
+        split = [self._parts_of(w) for w in words]
+        fresh = list({p: None for parts in split if parts is not None for p in parts if p not in known})
+        known.update(zip(fresh, self._encode(fresh), strict=True))
+        others = iter(self._encode([w.decode("utf-8", "replace") for w, parts in zip(words, split, strict=True) if parts is None]))
+        coded = [next(others) if parts is None else known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in split]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        end = self._used + int(sizes.sum())
+        if end > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros(max(len(self._ids), end), np.int32)])
+        self._ids[self._used : end] = np.frombuffer(b"".join(coded), np.int32)
+        first = len(self._starts) - 1
+        self._starts = np.concatenate([self._starts, self._used + np.cumsum(sizes)])
+        self._used = end
+        self._index.update(zip(hashes, range(first, first + len(hashes)), strict=True))
 
     def encode(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the piece's documents end to end, and where each document starts."""
@@ -110,20 +112,13 @@ class WordEncoder:
             first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1) > 0)[fresh]
             data = piece.data.tobytes()
             self._learn([keys[k] for k in fresh], [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
-        at = np.asarray(self._starts, np.int64)
+        at = self._starts
         entry = np.fromiter((index[h] for h in keys), np.int64, len(keys))[codes] if keys else np.zeros(0, np.int64)
         begin, length = at[entry], at[entry + 1] - at[entry]
         before = np.concatenate([[0], np.cumsum(length)])
         return self._ids[repeat_ranges(begin, length)], before[piece.word_bounds]
 
 
-def _split(text: str) -> list[str]:
-    """The vocabulary's own split of a lower-case word without white space."""
-    if text.isascii() and text.isalpha():
-        return [text]
-    return _PARTS.findall(text)
-
-
 _encoders: dict[str, WordEncoder] = {}
 
 
