@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ BLOCK_SEQUENCES = 256
 #: Cost of a token by itself and with each other token of its piece: an attention layer's share at this width.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Distinct words, and distinct parts of words, that a worker keeps before it starts anew.
-CACHE_WORDS, CACHE_PARTS = 1_000_000, 1_000_000
+CACHE_WORDS, CACHE_PARTS = 500_000, 600_000
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -64,7 +65,7 @@ class WordEncoder:
         self._starts, self._used = np.zeros(1, np.int64), 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("i", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _parts_of(self, word: bytes) -> list[str] | None:
         """The vocabulary's own split of a word, or None where only the tokenizer itself should say."""
@@ -72,7 +73,7 @@ class WordEncoder:
             text = word.decode().lower()
             if text.isalpha():
                 return [text]
-            if any(s in word for s in self._special) or not _SIMPLE.fullmatch(text):
+            if not text.isprintable() or any(s in word for s in self._special):
                 return None
         else:
             text = word.decode("utf-8", "replace")
@@ -107,13 +108,16 @@ class WordEncoder:
         starts, ends = piece.words
         codes, distinct = pd.factorize(piece.word_hashes())
         keys = distinct.tolist()
-        index = self._index
-        if fresh := [k for k, h in enumerate(keys) if h not in index]:
+        entries = list(map(self._index.get, keys))
+        if fresh := [k for k, e in enumerate(entries) if e is None]:
             first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1) > 0)[fresh]
             data = piece.data.tobytes()
+            begin = len(self._starts) - 1
+            for n, k in enumerate(fresh):
+                entries[k] = begin + n
             self._learn([keys[k] for k in fresh], [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         at = self._starts
-        entry = np.fromiter((index[h] for h in keys), np.int64, len(keys))[codes] if keys else np.zeros(0, np.int64)
+        entry = np.array(entries, np.int64)[codes]
         begin, length = at[entry], at[entry + 1] - at[entry]
         before = np.concatenate([[0], np.cumsum(length)])
         return self._ids[repeat_ranges(begin, length)], before[piece.word_bounds]
