@@ -120,7 +120,7 @@ def fingerprint_with_edits(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     parts = max(buckets_for(n, 2000), docs.sparkSession.sparkContext.defaultParallelism)
     placed = (
         docs.select("doc_id", text_or_empty().alias("text"))
-        .repartitionByRange(parts, "doc_id", "text")
+        .repartitionByRange(parts, "doc_id")
         .withColumn("_part", F.spark_partition_id())
     )
     order = Window.partitionBy("_part").orderBy("doc_id", "text")
