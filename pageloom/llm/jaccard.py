@@ -225,9 +225,30 @@ def bucket_links(element: np.ndarray, group: np.ndarray, n: np.ndarray, maps: li
             keep[long] = [_differing(maps[i], maps[i + d]) <= m for i, m in zip(k[long].tolist(), most[long].tolist(), strict=True)]
             k = k[keep]
         found.append(np.unique(np.stack([group[k], group[k + d]], 1), axis=0))
-        if sum(map(len, found)) > 500_000:
-            found = [np.unique(np.concatenate(found), axis=0)]
-    return np.unique(np.concatenate(found), axis=0)
+        if sum(map(len, found)) > 200_000:
+            found = [spanning_forest(np.concatenate(found))]
+    return np.concatenate(found)
+
+
+def spanning_forest(pairs: np.ndarray) -> np.ndarray:
+    """As few of the pairs as connect the same groups."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := root.get(top, top)) != top:
+            top = up
+        while x != top:
+            root[x], x = top, root.get(x, x)
+        return top
+
+    kept = []
+    for a, b in pairs.tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return np.array(kept, np.int64).reshape(-1, 2)
 
 
 def link_block(elements: np.ndarray, bounds: np.ndarray, percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -320,7 +341,7 @@ def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[D
     def filtered(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([("element", "ascending"), ("group", "ascending")])
         element, group, n = (table.column(c).to_numpy() for c in ("element", "group", "n"))
-        pairs = bucket_links(element, group, n, table.column("bitmap").to_pylist(), percent)
+        pairs = spanning_forest(bucket_links(element, group, n, table.column("bitmap").to_pylist(), percent))
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     close = few.withColumn("_task", F.pmod(F.xxhash64("element"), F.lit(tasks))).groupBy("_task").applyInArrow(filtered, "a long, b long")
