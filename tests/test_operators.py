@@ -132,11 +132,12 @@ def test_work(spark):
     assert [r.item for r in work.unknown(outputs, prompts, ["job", "item"]).collect()] == ["p9"]
 
 
-def test_whole_run(spark):
-    clients = {s: payloads.TemplateClient(s) for s in ("chunk", "chapter", "final", "verify")}
-    text = "# Book\n\nwords\n\n## Chapter 1: One\n\nbody"
-    row = summarize.run_with(docs(spark, text), clients).first()
-    assert row.doc_id == "d0" and "## Executive Summary" in row.markdown
+def test_assemble(spark):
+    final, verify = (payloads.TemplateClient(s)._payload for s in ("final", "verify"))
+    rows = lambda *r: spark.createDataFrame(list(r), "doc_id string, payload string")
+    got = summarize.assemble(rows(("a", final), ("b", final)), rows(("b", verify.replace('"issues": []', '"issues": [{"severity":"high","problem":"p","correction":"c"}]')))).orderBy("doc_id").collect()
+    assert all("## Executive Summary" in r.markdown for r in got)
+    assert "- [high] p -> c" in got[1].markdown and "Issues" not in got[0].markdown
 
 
 def test_cache(spark, tmp_path):
