@@ -110,7 +110,8 @@ def repeated_starts(segments_: list[bytes], windows: np.ndarray, span: int) -> t
     sizes = np.array([len(s) for s in segments_], np.int64)
     text = np.frombuffer(b"".join(segments_), np.uint8)
     base = np.cumsum(sizes) - sizes
-    sa = suffix_array(text, span)
+    # Sorted to the last byte: Kasai's rule does not hold among ties.
+    sa = suffix_array(text, len(text))
     run = np.cumsum(common_prefixes(text, sa, span) < span)
     kind = np.empty(len(text), np.int64)
     kind[sa] = run

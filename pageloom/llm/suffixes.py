@@ -53,7 +53,8 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(text: np.ndarray, sa: np.ndarray, cap: int, lanes: int = 4096) -> np.ndarray:
     """For each slot of ``sa``, the bytes (``cap`` at most) that its suffix shares with the slot before.
 
-    Kasai's rule: in text order, the length falls by one byte a step at most, so each step starts there.
+    Kasai's rule: in text order, the length falls by one byte a step at most, so each step starts there.  It
+    holds for a fully sorted ``sa`` only: where ties are left open, the slot before may share nothing.
     The text is cut into lanes that take their steps together; a lane's first step starts from nothing.
     """
     n = len(text)

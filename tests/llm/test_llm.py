@@ -98,6 +98,18 @@ def test_repeats(docs, empty, monkeypatch):
     assert suffix_dedup.remove_repeats(empty, 60).count() == 0
 
 
+def test_repeated_starts_where_segments_share_more_than_the_sorted_depth():
+    rng = random.Random(4)
+    span, shared = 6, [bytes(rng.choice(b"abcdefgh") for _ in range(40)) for _ in range(120)]
+    # Long enough for lanes of several steps.
+    data = [bytes(rng.choice(b"abcdefgh") for _ in range(9)) + rng.choice(shared)[rng.randrange(9) :] + bytes(rng.choice(b"abcdefgh") for _ in range(9)) for _ in range(600)]
+    owner, start, kind = suffix_dedup.repeated_starts(data, np.array([len(s) - span + 1 for s in data]), span)
+    classes = defaultdict(set)
+    for k, o, at in zip(kind.tolist(), owner.tolist(), start.tolist(), strict=True):
+        classes[k].add(data[o][at : at + span])
+    assert all(len(s) == 1 for s in classes.values()) and len(classes) == len(set.union(*classes.values()))
+
+
 def test_jaccard(docs, empty):
     sets, parent = {}, {}
 
