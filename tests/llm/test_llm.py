@@ -322,3 +322,14 @@ def test_word_model_is_a_distribution():
     mixer, _ = lm.learn_mixer(known, tables)
     logs = lm.word_scores(known, tables, mixer)
     assert (np.exp(logs).sum(0) <= 1 + 1e-6).all() and (logs < 0).all()
+
+
+def test_long_words_are_modelled_to_their_end(monkeypatch):
+    words_ = [b"u" * 50 + b"/one" * 9, b"u" * 50 + b"/two" * 9, b"v" * 40 + b"xyz" * 20, b"short", b""]
+    known = lm.Words(words_, np.array([[900, 1, 0, 0], [1, 0, 0, 0], [50, 0, 0, 7], [3, 0, 0, 0], [9, 9, 0, 0]]))
+    tables = lm.count_tables(known)
+    mixer, _ = lm.learn_mixer(known, tables)
+    logs = lm.word_scores(known, tables, mixer)
+    monkeypatch.setattr(lm, "DEEP_BYTES", 10_000)
+    assert (lm.count_tables(known) == tables).all()
+    assert np.allclose(lm.word_scores(known, tables, mixer), logs)
