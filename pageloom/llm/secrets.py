@@ -1,10 +1,10 @@
 """Secret scans: stated patterns, and sliding-window Shannon entropy over candidate strings.
 
-Candidate strings are the runs of at least ``WINDOW`` key characters.  Each is scanned once per character
-class: a window of fixed width moves over it, one count goes up and one down a step, and the entropy
-follows from the change of two terms.  Windows at or over the class's threshold join into spans.  A span
-is suppressed when its text matches the allow-list (placeholders, repeated or counting characters) or
-when a pattern span already covers part of it.
+Candidate strings are the runs of at least ``WINDOW`` key characters.  A window of fixed width moves over
+each, one count goes up and one down a step, and the entropy follows from the change of two terms.  Windows
+at or over the threshold of the class that their own characters are of join into spans.  A span is
+suppressed when its text matches the allow-list (placeholders, repeated or counting characters); of the
+others the parts outside pattern spans stay.  Redacting takes the whole token that such a part is in.
 
 A numpy pass over the bytes finds the documents that hold a candidate run or a keyword; only those are
 decoded and matched, which changes no result, since every pattern needs one of the two.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -35,17 +36,22 @@ _ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_-]+=*|=+")
 _KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 WINDOW = 20
-#: Character class of a candidate, and the entropy in bits a character at which a window counts.
+#: Character class of a window, and the entropy in bits a character at which it counts: of 20,000 random
+#: windows each, 3.0 % of hex, 0.9 % of one letter case with digits, 1.4 % of two-case letters and under 3 % of
+#: one-case letters are below.
 CLASSES = (
     ("hex", re.compile(r"(?=.*[0-9])[0-9a-fA-F]+"), 3.0),
-    ("mixed", re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]+"), 3.6),
-    ("letters", re.compile(r"(?=.*[a-z])(?=.*[A-Z].*[A-Z].*[A-Z].*[A-Z])[A-Za-z+/_=-]+"), 4.1),
+    ("mixed", re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]+"), 3.4),
+    ("letters", re.compile(r"(?=.*[a-z])(?=.*[A-Z].*[A-Z].*[A-Z].*[A-Z])[A-Za-z+/_=-]+"), 3.6),
+    ("one case", re.compile(r"[a-z]+|[A-Z]+"), 3.3),
 )
+LEAST_BITS = min(bits for _, _, bits in CLASSES)
 #: Texts that are placeholders rather than keys.
 ALLOWED = (
     r"(?i)example|placeholder|changeme|dummy|x{6,}|\*{4,}",
@@ -80,13 +86,10 @@ def entropy_spans(text: str, allowed: list[re.Pattern]) -> list[tuple[int, int]]
     spans = []
     for m in _RUN.finditer(text):
         run = m[0]
-        least = next((bits for _, pattern, bits in CLASSES if pattern.fullmatch(run)), None)
-        if least is None:
-            continue
         first = last = -1
         found = []
         for start, bits in window_entropies(run):
-            if bits < least:
+            if bits < LEAST_BITS or bits < next((b for _, pattern, b in CLASSES if pattern.fullmatch(run, start, start + WINDOW)), math.inf):
                 continue
             if first < 0 or start > last:
                 if first >= 0:
@@ -99,13 +102,24 @@ def entropy_spans(text: str, allowed: list[re.Pattern]) -> list[tuple[int, int]]
     return spans
 
 
+def outside(start: int, end: int, covers: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that sorted covers leave."""
+    parts = []
+    for a, b in covers:
+        if a < end and start < b:
+            if start < a:
+                parts.append((start, a))
+            start = max(start, b)
+    return [*parts, (start, end)] if start < end else parts
+
+
 def find_spans(text: str, allowed: list[re.Pattern]) -> list[tuple[str, int, int]]:
     """All spans of one text by start, then kind in the order of KINDS."""
     found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
     found += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     found += [("hex", *m.span()) for m in _HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
-    base = [(a, b) for _, a, b in found]
-    found += [("entropy", a, b) for a, b in entropy_spans(text, allowed) if not any(a < y and x < b for x, y in base)]
+    base = sorted((a, b) for _, a, b in found)
+    found += [("entropy", *part) for a, b in entropy_spans(text, allowed) for part in outside(a, b, base)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -160,6 +174,19 @@ def scan(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
 
 
+def widened(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The spans, those of entropy grown to their whole token: key characters, up to a ``=`` before and with those after."""
+    tokens = [m.span() for m in _TOKEN.finditer(text)] if any(kind == "entropy" for kind, _, _ in spans) else []
+    starts = [a for a, _ in tokens]
+    out = []
+    for kind, a, b in spans:
+        if kind == "entropy":
+            a = min(a, starts[max(bisect_right(starts, a) - 1, 0)])
+            b = max(b, tokens[max(bisect_right(starts, b - 1) - 1, 0)][1])
+        out.append((kind, a, b))
+    return out
+
+
 def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
     edges: list[list[int]] = []
     for _, a, b in sorted(spans, key=lambda s: s[1]):
@@ -183,7 +210,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", allowed: tuple[str, ...] = A
             if found:
                 texts = column.to_pylist()
                 for k, spans in found.items():
-                    texts[k] = redacted(texts[k], spans, mark)
+                    texts[k] = redacted(texts[k], widened(texts[k], spans), mark)
                 column = pa.array(texts, column.type)
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], column, *batch.columns[at + 1 :]], schema=batch.schema)
 

@@ -188,6 +188,20 @@ def test_secrets(docs, empty):
     assert secrets.redact(docs).columns == docs.columns and secrets.redact(docs).exceptAll(docs).count() == 0
 
 
+def test_secrets_are_judged_by_their_windows(spark):
+    rng = random.Random(7)
+    for alphabet, size in (("0123456789ABCDEF", 30), ("abcdefghijklmnopqrstuvwxyz", 30), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 20), ("abcdefghijklmnopqrstuvwxyz0123456789", 20)):
+        keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(300)]
+        assert sum(not secrets.find_spans(f"see KEY={k} here", []) for k in keys) <= 15
+    # What a pattern leaves of a long key is found, and goes with its token.
+    long = "Q7zR2mX9vK4tB8nW1cY6pL3s/" + "04dbebab91ab85687d33eeaaf9" + "/H5jD0gF7aS2uE9iO4kMx"
+    kinds = {k for k, _, _ in secrets.find_spans(long, [])}
+    assert kinds == {"hex", "entropy"}
+    texts = {1: f"x={long} é", 2: "é id=aaaaaaaaaaZk9Qw3rT7yLp2VbN8mXs4HdJ== end"}
+    got = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == {1: "[SECRET] é", 2: "é id=[SECRET] end"}
+
+
 def secrets_allowed():
     import re
 
