@@ -75,7 +75,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: The classifier and the tokenizer have no SQL form; the pipeline is tested against its stages' contracts.
+#: The classifier and the tokenizer have no SQL form; tests cover the stages' operators, not the stages or run().
 ORACLE_SQL = None
 
 
