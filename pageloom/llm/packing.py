@@ -7,8 +7,9 @@ room there is, least cost first.  A block opens just as many sequences as its to
 wastes less than one sequence.  Blocks are runs of documents within an input partition: nothing is
 shuffled, a task holds one block, and a lost task packs the same blocks again.
 
-Tokenizing works on distinct words: pieces between white space never share a token, so each distinct one
-is encoded once, kept in a bounded cache per worker, and texts are gathered from there in numpy.
+Tokenizing works on the distinct words of a run of texts: pieces between white space never share a token.
+Those of Latin letters are split and merged together in numpy by the merges that the vocabulary file states;
+the tokenizer itself codes all others, and a cache of few megabytes keeps those.
 
 Defined cases: null and empty texts are the closing id alone; repeated rows are packed as documents of
 their own; an empty table gives an empty result; other columns are ignored.
@@ -16,9 +17,7 @@ their own; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from array import array
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,91 +35,205 @@ CLOSING_ID = 2
 BLOCK_SEQUENCES = 256
 #: Cost of a token by itself and with each other token of its piece: an attention layer's share at this width.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
-#: Distinct words, and distinct parts of words, that a worker keeps before it starts anew.
-CACHE_WORDS, CACHE_PARTS = 500_000, 600_000
-
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
-#: Words of Latin letters and ASCII marks, for which the pattern of the vocabulary is stated here.
-_SIMPLE = re.compile(r"[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-ķĹ-ň]+")
-#: As the vocabulary file states it: contractions, letter runs, single digits, runs of anything else.
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w]|_)+")
+#: Words that only the tokenizer itself splits, kept per worker: at most so many, and bytes of them.
+CACHE_WORDS, CACHE_BYTES = 100_000, 4 << 20
+
+#: Bytes beyond which a word goes through the tokenizer: all words take as many rounds here as the longest.
+LONG_WORD = 96
+
+_NO_RANK = np.int64(1) << 62
+
+
+class Merges:
+    """The vocabulary's merges as arrays: byte symbols, and an open hash table from a pair to its rank and result."""
+
+    def __init__(self, model: dict):
+        vocab = model["vocab"]
+        # The byte alphabet of byte-level vocabularies: printable Latin-1 stands for itself, the rest from 256 on.
+        own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in set(own)]
+        signs = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self.inner = np.array([vocab.get(signs[b], -1) for b in range(256)], np.int64)
+        self.final = np.array([vocab.get(signs[b] + "</w>", -1) for b in range(256)], np.int64)
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        keys = np.array([vocab[x] << 32 | vocab[y] for x, y in pairs], np.int64)
+        self.result = np.array([vocab[x + y] for x, y in pairs], np.int64)
+        self.mask = (1 << (8 * len(pairs)).bit_length()) - 1
+        self.key, self.rank = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, _NO_RANK, np.int64)
+        left = np.arange(len(keys))
+        at = self._slot(keys)
+        while len(left):
+            free = self.key[at[left]] < 0
+            self.key[at[left[free]]] = keys[left[free]]
+            taken = self.key[at[left]] == keys[left]
+            self.rank[at[left[taken]]] = left[taken]
+            left = left[~taken]
+            at[left] = (at[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(40)).astype(np.int64) & self.mask
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = self._slot(keys)
+        found, out = self.key[at], self.rank[at]
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            found[open_], out[open_] = self.key[at[open_]], self.rank[at[open_]]
+            open_ = open_[(found[open_] != keys[open_]) & (found[open_] >= 0)]
+        return np.where(found == keys, out, _NO_RANK)
+
+    def merged(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all parts end to end and their sizes, after all merges: in every part, the leftmost pair of the
+        least rank first."""
+        out_part: list[np.ndarray] = []
+        out_symbol: list[np.ndarray] = []
+        part = np.repeat(np.arange(len(sizes)), sizes)
+        rank = np.full(len(symbols), _NO_RANK, np.int64)
+        if len(symbols) > 1:
+            inside = np.flatnonzero(part[1:] == part[:-1])
+            rank[inside] = self.ranks(symbols[inside], symbols[inside + 1])
+        while len(symbols):
+            start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            least = np.minimum.reduceat(rank, start)
+            live = least < _NO_RANK
+            if not live.all():
+                size = np.diff(np.append(start, len(part)))
+                kept = np.repeat(live, size)
+                out_part.append(part[~kept])
+                out_symbol.append(symbols[~kept])
+                part, symbols, rank = part[kept], symbols[kept], rank[kept]
+                least, size = least[live], size[live]
+                start = np.cumsum(size) - size
+                if not len(symbols):
+                    break
+            else:
+                size = np.diff(np.append(start, len(part)))
+            hits = np.flatnonzero(rank == np.repeat(least, size))
+            hits = hits[np.concatenate([[True], part[hits[1:]] != part[hits[:-1]]])]
+            symbols[hits] = self.result[least]
+            keep = np.ones(len(symbols), bool)
+            keep[hits + 1] = False
+            moved = hits - np.arange(len(hits))
+            part, symbols, rank = part[keep], symbols[keep], rank[keep]
+            for left in (moved[moved > 0] - 1, moved[moved < len(symbols) - 1]):
+                same = part[left] == part[left + 1]
+                rank[left[same]] = self.ranks(symbols[left[same]], symbols[left[same] + 1])
+            last = moved[(moved == len(symbols) - 1) | (part[np.minimum(moved + 1, len(part) - 1)] != part[moved])]
+            rank[last] = _NO_RANK
+        parts = np.concatenate(out_part) if out_part else np.zeros(0, np.int64)
+        found = np.concatenate(out_symbol) if out_symbol else np.zeros(0, np.int64)
+        order = np.argsort(parts, kind="stable")
+        return found[order], np.bincount(parts, minlength=len(sizes))
+
+
+#: Classes of the bytes of plain words: letters, digits, marks; 0 sends a word to the tokenizer itself (an
+#: apostrophe may open a contraction, a < a special token, other bytes need its normal forms).
+_LETTER, _DIGIT, _MARK = 1, 2, 3
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = _MARK
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[[0x27, 0x3C]] = 0
 
 
 class WordEncoder:
-    """Ids of whole texts from ids of distinct words."""
+    """Ids of whole texts from ids of their distinct words.
+
+    Words of ASCII and Latin-1 letters are split by byte classes and merged all at once (``Merges``); others go
+    through the tokenizer.  A vocabulary file of another build than this one goes through the tokenizer throughout.
+    """
+
+    #: What the file must state for the split by byte classes to be its own.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
-        self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._parts: dict[str, bytes] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self._index: dict[int, int] = {}
-        self._ids = np.zeros(1 << 16, np.int32)
-        self._starts, self._used = np.zeros(1, np.int64), 0
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("i", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _parts_of(self, word: bytes) -> list[str] | None:
-        """The vocabulary's own split of a word, or None where only the tokenizer itself should say."""
-        if word.isascii():
-            text = word.decode().lower()
-            if text.isalpha():
-                return [text]
-            if not text.isprintable() or any(s in word for s in self._special):
-                return None
+        self._others: dict[bytes, np.ndarray] = {}
+        self._held = 0
+        with open(path, encoding="utf-8") as f:
+            stated = json.load(f)
+        steps = [n.get("type") for n in (stated.get("normalizer") or {}).get("normalizers", [])]
+        split = (stated.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        model = stated["model"]
+        plain = steps == ["NFC", "Replace", "Lowercase"] and split == self.PATTERN and model.get("end_of_word_suffix") == "</w>"
+        plain = plain and all(t["content"].startswith("<") for t in stated.get("added_tokens", []))
+        self._merges = Merges(model) if plain else None
+
+    def _by_tokenizer(self, words: list[bytes]) -> list[np.ndarray]:
+        known = self._others
+        fresh = list(dict.fromkeys(w for w in words if w not in known))
+        coded = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
+        new = {w: np.array(e.ids, np.int64) for w, e in zip(fresh, coded, strict=True)}
+        found = [known[w] if w in known else new[w] for w in words]
+        self._held += sum(len(w) + 8 * len(i) for w, i in new.items())
+        known.update(new)
+        if len(known) > CACHE_WORDS or self._held > CACHE_BYTES:
+            self._others, self._held = {}, 0
+        return found
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at starts .. ends, end to end, and how many each has."""
+        n, length = len(starts), ends - starts
+        text = data[repeat_ranges(starts, length)]
+        at = np.cumsum(length) - length
+        if self._merges is None:
+            plain = np.zeros(n, bool)
         else:
-            text = word.decode("utf-8", "replace")
-            if any(s in word for s in self._special) or not _SIMPLE.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
-                return None
-            text = text.lower()
-        return _PARTS.findall(text)
-
-    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
-        known = self._parts
-        split = [self._parts_of(w) for w in words]
-        fresh = list({p: None for parts in split if parts is not None for p in parts if p not in known})
-        known.update(zip(fresh, self._encode(fresh), strict=True))
-        others = iter(self._encode([w.decode("utf-8", "replace") for w, parts in zip(words, split, strict=True) if parts is None]))
-        coded = [next(others) if parts is None else known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in split]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        end = self._used + int(sizes.sum())
-        if end > len(self._ids):
-            self._ids = np.concatenate([self._ids, np.zeros(max(len(self._ids), end), np.int32)])
-        self._ids[self._used : end] = np.frombuffer(b"".join(coded), np.int32)
-        first = len(self._starts) - 1
-        self._starts = np.concatenate([self._starts, self._used + np.cumsum(sizes)])
-        self._used = end
-        self._index.update(zip(hashes, range(first, first + len(hashes)), strict=True))
+            text, kind = text.copy(), _CLASS[text]
+            # Two bytes C3 80 .. C3 BF are a Latin letter, but for C3 97 and C3 B7; C3 80 .. C3 9E are capitals.
+            lead = np.flatnonzero(text[:-1] == 0xC3)
+            follow = text[lead + 1]
+            letter = (follow >= 0x80) & (follow <= 0xBF) & (follow != 0x97) & (follow != 0xB7)
+            lead = lead[letter]
+            kind[lead] = kind[lead + 1] = _LETTER
+            capital = lead[(text[lead + 1] < 0x9F)]
+            text[capital + 1] += 0x20
+            text[(text >= 65) & (text <= 90)] += 32
+            plain = (np.minimum.reduceat(kind, at) > 0) & (length <= LONG_WORD) if n else np.zeros(0, bool)
+        sizes = np.zeros(n, np.int64)
+        ids = np.zeros(0, np.int64)
+        if plain.any():
+            chosen = np.repeat(plain, length)
+            text, kind, word = text[chosen], kind[chosen], np.repeat(np.flatnonzero(plain), length[plain])
+            # A part begins with a word, at a change of class, and at every digit.
+            begins = np.concatenate([[True], (word[1:] != word[:-1]) | (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)])
+            first = np.flatnonzero(begins)
+            part_sizes = np.diff(np.append(first, len(text)))
+            symbols = self._merges.inner[text]
+            final = first + part_sizes - 1
+            symbols[final] = self._merges.final[text[final]]
+            ids, counts = self._merges.merged(symbols, part_sizes)
+            sizes += np.bincount(word[first], counts, n).astype(np.int64)
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            raw = data.tobytes() if len(rest) > 1000 else None
+            found = self._by_tokenizer([raw[a:b] if raw is not None else data[a:b].tobytes() for a, b in zip(starts[rest].tolist(), ends[rest].tolist(), strict=True)])
+            sizes[rest] = [len(f) for f in found]
+            whole = np.empty(int(sizes.sum()), np.int64)
+            own = np.repeat(plain, sizes)
+            whole[own] = ids
+            whole[~own] = np.concatenate(found)
+            ids = whole
+        return ids, sizes
 
     def encode(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the piece's documents end to end, and where each document starts."""
-        if len(self._index) > CACHE_WORDS:
-            self._reset()
-        if len(self._parts) > CACHE_PARTS:
-            self._parts = {}
         starts, ends = piece.words
         codes, distinct = pd.factorize(piece.word_hashes())
-        keys = distinct.tolist()
-        entries = list(map(self._index.get, keys))
-        if fresh := [k for k, e in enumerate(entries) if e is None]:
-            first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1) > 0)[fresh]
-            data = piece.data.tobytes()
-            begin = len(self._starts) - 1
-            for n, k in enumerate(fresh):
-                entries[k] = begin + n
-            self._learn([keys[k] for k in fresh], [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
-        at = self._starts
-        entry = np.array(entries, np.int64)[codes]
-        begin, length = at[entry], at[entry + 1] - at[entry]
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1) > 0)
+        ids, sizes = self.words(piece.data, starts[first], ends[first])
+        at = np.cumsum(sizes) - sizes
+        length = sizes[codes]
         before = np.concatenate([[0], np.cumsum(length)])
-        return self._ids[repeat_ranges(begin, length)], before[piece.word_bounds]
+        return ids[repeat_ranges(at[codes], length)], before[piece.word_bounds]
 
 
 _encoders: dict[str, WordEncoder] = {}
