@@ -169,27 +169,38 @@ def test_search(docs, empty):
                 idf = np.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5))
                 for d, c in tf.items():
                     if w in c:
-                        scores[d] += np.rint(idf * (c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean))) * 1e6)
+                        scores[d] += np.rint(idf * np.float32(c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean))) * 1e6)
             best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:4]
             assert [s for _, s in got[q]] == [s for _, s in best] and {d for d, _ in got[q]} == {d for d, _ in best}
     assert top_k(empty, F.lit(True)).count() == 0
 
 
-def test_block_bounds_give_the_same_top(monkeypatch):
+def test_block_bounds_skip_rows_and_give_the_same_top():
     rng = np.random.default_rng(8)
-    count, terms = 3000, 40
-    parts = []
+    count, terms = 3000, 400
+    doc, term, tf = [], [], []
     for d in range(count):
-        t = np.unique(rng.zipf(1.5, 12) % terms)
-        parts.append((np.full(len(t), d), t, rng.integers(1, 9, len(t))))
-    index = search.ShardIndex(np.arange(count) * 3, parts, 30.0)
-    queries = [(np.unique(rng.integers(0, terms, 6)), 5) for _ in range(60)]
-    whole = [index.top(q, 0.1 + 3 / (1 + q), k) for q, k in queries]
-    for least in (0, 300, 1500):
-        monkeypatch.setattr(search, "EXACT_POSTINGS", least)
-        for (q, k), (docs_, best) in zip(queries, whole, strict=True):
-            got = index.top(q, 0.1 + 3 / (1 + q), k)
-            assert got[0].tolist() == docs_.tolist() and got[1].tolist() == best.tolist()
+        # Rows fall into four kinds with frequent terms of their own, and rare terms of all kinds.
+        t = np.unique(np.concatenate([d % 4 * 10 + rng.integers(0, 10, 8), 40 + rng.zipf(1.3, 6) % (terms - 40)]))
+        doc, term, tf = [*doc, np.full(len(t), d, np.int32)], [*term, t], [*tf, rng.integers(1, 9, len(t)).astype(np.int32)]
+    parts = [(np.concatenate(doc), np.concatenate(term), np.concatenate(tf))]
+    doc, term, tf = parts[0]
+    length = np.bincount(doc, tf)
+    impact = (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[doc] / 60.0))).astype(np.float32)
+    index = search.ShardIndex(np.arange(count) * 3, parts, 60.0)
+    assert len(index.table) and len(index.posting_doc)
+    queries = [np.unique(np.concatenate([k % 4 * 10 + rng.integers(0, 10, 4), 40 + rng.zipf(1.3, 5) % (terms - 40)])) for k in range(60)]
+    for number, q in enumerate(queries):
+        weight = np.zeros(terms)
+        weight[q] = 0.1 + 3 / (1 + np.arange(len(q)))
+        scores = np.bincount(doc, np.rint(weight[term] * impact * search.UNIT), count)
+        best = np.lexsort((np.arange(count), -scores))[: 1 + number % 10]
+        best = best[scores[best] > 0]
+        got = index.top(q, weight[q], 1 + number % 10)
+        assert got[0].tolist() == (best * 3).tolist() and got[1].tolist() == scores[best].tolist()
+    assert 0 < index.scored < 0.2 * count * len(queries)
+    only_rare = index.top(np.array([399, 500]), np.array([1.0, 1.0]), 3)
+    assert len(only_rare[0]) <= 3
 
 
 def test_secrets(docs, empty):
