@@ -15,15 +15,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 4000
 
 
+#: Bytes of one Arrow batch between the JVM and a worker, however long the texts.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches by bytes: whole texts in the default's 10,000 rows or 64 MB a batch would need that several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named (tests)."""
+    """The shared folder the cluster names; a folder of our own only in local sessions (tests), where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+        if not named and not local:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pageloom-ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

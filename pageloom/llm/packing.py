@@ -40,6 +40,8 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 #: Words that only the tokenizer itself splits, kept per worker: at most so many, and bytes of them.
 CACHE_WORDS, CACHE_BYTES = 100_000, 4 << 20
 
+#: Bytes of texts whose distinct words are coded together.
+WORDS_BYTES = 2 << 20
 #: Bytes beyond which a word goes through the tokenizer: all words take as many rounds here as the longest.
 LONG_WORD = 96
 
@@ -307,7 +309,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, closing
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(1), WORDS_BYTES):
                 ids, at = encoder.encode(piece)
                 for k in range(piece.rows):
                     own = np.empty(at[k + 1] - at[k] + 1, "<u4")

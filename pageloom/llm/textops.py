@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes and documents worked on at once; one longer document is one piece of its own.
-PIECE_BYTES, PIECE_ROWS = 2 << 20, 4000
+PIECE_BYTES, PIECE_ROWS = 512 << 10, 4000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
