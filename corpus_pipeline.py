@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 next stage's docs.  All but the last return the columns of ``docs``:
 
 * quality: documents that the classifier scores under 0.5 go;
-* near_duplicates: of documents linked by five-word shingles at a similarity of 0.8, the least doc_id stays;
+* near_duplicates: of documents linked by five-word shingles at a similarity of 0.8, the least doc_id stays
+  (rows under one doc_id are one document: the row with the least text stays);
 * secrets: found secrets are replaced in the text;
 * mixing: documents repeat, or go, as their source's share asks; the one document at the edge of a source's
   share stays with as many of its first words as are missing;
@@ -19,17 +20,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import WORD, checkpoint_dir, documents
+from pageloom.llm.common import WORD, bounded_batches, checkpoint_dir, cut_lineage, documents
 from pageloom.llm.jaccard import jaccard_components
 from pageloom.llm.mixing import mix_sources
 from pageloom.llm.packing import pack
 from pageloom.llm.quality import keep_good, train
 from pageloom.llm.secrets import redact
 
+#: Ids up to this many are sent to every task; beyond, the join shuffles.
+BROADCAST_IDS = 1_000_000
+
 
 def _with_length(docs: DataFrame) -> DataFrame:
     """n_chars as the text now has it, where there is such a column."""
@@ -39,16 +42,27 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return keep_good(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = jaccard_components(docs, width=5, percent=80).where("component_id = doc_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    bounded_batches(spark)
+    kept = cut_lineage(jaccard_components(docs, width=5, percent=80).where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")))
+    rows, several = kept.agg(F.count(F.lit(1)), F.max("_rows")).first()
+    if rows <= BROADCAST_IDS:
+        kept = F.broadcast(kept)
+    named = docs.join(kept, "doc_id", "left_semi")
+    if (several or 0) > 1:
+        # Rows under one id are one document; the least of them stays, whichever task comes first.
+        least = F.min(F.struct(*[F.col(f"`{c}`") for c in sorted(docs.columns, key=lambda c: c != "text")])).alias("_row")
+        alone = docs.join(kept.where("_rows = 1"), "doc_id", "left_semi")
+        named = alone.unionByName(docs.join(kept.where("_rows > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(least).select(*[F.col(f"_row.`{c}`") for c in docs.columns]))
     return named.unionByName(docs.where("doc_id is null"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return _with_length(redact(docs))
 
 
@@ -64,6 +78,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    bounded_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
