@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.llm import fingerprints, jaccard, lm, packing, search, secrets, sharding, suffix_dedup
+from pageloom.llm import fingerprints, jaccard, packing, search, secrets, sharding, suffix_dedup
 from pageloom.llm.components import components
 from pageloom.llm.mixing import mix_sources
 from pageloom.llm.quality import QualityModel, keep_good, score, train
@@ -338,40 +338,3 @@ def test_quality(spark, empty):
     blank = train(docs, marks.where("quality = 1"))
     assert {r.score for r in score(docs, blank).collect()} == {1.0} and score(empty, model).count() == 0
     assert isinstance(train(empty, marks), QualityModel)
-
-
-def test_lm(docs, empty):
-    train_on = F.col("doc_id") % 4 != 1
-    rows = lm.score_texts(docs, train_on).collect()
-    count = Counter()
-    texts = {r.doc_id: words(r.text) + [b""] for r in docs.collect()}
-    for k, w in texts.items():
-        if k % 4 != 1:
-            count.update(w)
-    n, v = sum(count.values()), len(count)
-    for r in rows:
-        w = texts[r.doc_id]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(count[x] > 0 for x in w), n)
-        assert abs(r.base_score - sum(np.log10((count[x] + 1) / (n + v + 1)) for x in w)) < 1e-6 * len(w)
-        assert r.score < 0 and np.isfinite(r.score)
-    assert lm.score_texts(empty, train_on).count() == 0
-
-
-def test_word_model_is_a_distribution():
-    words_ = [bytes([a, b]) for a in b"abc" for b in b"abc"] + [b"", b"a" * 60]
-    known = lm.Words(words_, np.tile([[3, 1, 0, 0]], (len(words_), 1)))
-    tables = lm.count_tables(known).astype(np.float32)
-    mixer, _ = lm.learn_mixer(known, tables)
-    logs = lm.word_scores(known, tables, mixer)
-    assert (np.exp(logs).sum(0) <= 1 + 1e-6).all() and (logs < 0).all()
-
-
-def test_long_words_are_modelled_to_their_end(monkeypatch):
-    words_ = [b"u" * 50 + b"/one" * 9, b"u" * 50 + b"/two" * 9, b"v" * 40 + b"xyz" * 20, b"short", b""]
-    known = lm.Words(words_, np.array([[900, 1, 0, 0], [1, 0, 0, 0], [50, 0, 0, 7], [3, 0, 0, 0], [9, 9, 0, 0]]))
-    tables = lm.count_tables(known)
-    mixer, _ = lm.learn_mixer(known, tables)
-    logs = lm.word_scores(known, tables, mixer)
-    monkeypatch.setattr(lm, "DEEP_BYTES", 10_000)
-    assert (lm.count_tables(known) == tables).all()
-    assert np.allclose(lm.word_scores(known, tables, mixer), logs)
