@@ -43,14 +43,38 @@ LEXICON = (
 )
 SUFFIXES = ("s", "es", "ed", "ing", "ly", "er", "ers", "est", "ness", "ment")
 NORMALIZER_STOPWORDS = (
-    "a an and are as at be been being but by can did do does for from had has have he her hers him his i if in into is it its me more my "
-    "no not of on one or our out she so than that the their them there they this those through to up us was we were what when which who "
-    "why will with you your"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "been", "being", "but", "by", "can", "did", "do", "does", "for", "from", "had", "has",
+    "have", "he", "her", "hers", "him", "his", "i", "if", "in", "into", "is", "it", "its", "me", "more", "my", "no", "not", "of", "on",
+    "one", "or", "our", "out", "she", "so", "than", "that", "the", "their", "them", "there", "they", "this", "those", "through", "to",
+    "up", "us", "was", "we", "were", "what", "when", "which", "who", "why", "will", "with", "you", "your",
+)
 GROUNDING_STOPWORDS = (
-    "a an and are as at be because by for from how if in into is it its more not of on or so than that the their them then there these "
-    "they this to through was we what when which with you"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "because", "by", "for", "from", "how", "if", "in", "into", "is", "it", "its", "more",
+    "not", "of", "on", "or", "so", "than", "that", "the", "their", "them", "then", "there", "these", "they", "this", "to", "through",
+    "was", "we", "what", "when", "which", "with", "you",
+)
+
+# --- fixed values: patterns of the spacing and address repairs, in order of application (groups are written as in Python) ---
+SPACING_REPAIRS = (
+    (r"(?<=[A-Za-z])\.(?=[A-Z])", ". "),
+    (r"\bU\.\s*S\.\b", "U.S."),
+    (r"\b([A-Z]\.[A-Z]\.)(?=[A-Za-z])", r"\1 "),
+    (r"(?<=\d)(?=[A-Za-z]{3,})", " "),
+    (r"\s+([,.;:?!])", r"\1"),
+    (r"([(\[“‘])\s+", r"\1"),
+    (r"\s{2,}", " "),
+)
+ADDRESS_REPAIRS = (
+    (r"(?i)(https?://)\s+", r"\1"),
+    (r"(https?://\S+)\s+([A-Za-z0-9/_#?=&%-])", r"\1\2"),
+    (r"(www\.\S+)\s+([A-Za-z0-9/_#?=&%-])", r"\1\2"),
+    (r"((?:https?://|www\.)[A-Za-z0-9.-]+)\.\s+([A-Za-z]{2,6}\b)", r"\1.\2"),
+    (r"((?:https?://|www\.)[^\s]+/)\s+([A-Za-z0-9])", r"\1\2"),
+)
+ADDRESS_END = r"(?i)(?:https?://|www\.|\w+\.)[\w./?&=#:%+-]*$"
+ADDRESS_START = r"[A-Za-z0-9/_#?=&%-]"
+HYPHENED_WORDS = r"\b([A-Za-z]{2,})-\s+([A-Za-z]{2,})\b"
+WORD_PAIR = r"\b([A-Za-z]{2,14})\s+([A-Za-z]{2,14})\b"
 
 # --- fixed values: section kinds ---
 PRIORITY = {"core_argument": 5, "case_study": 4, "mixed": 3, "framing": 2, "reference": 1, "endmatter": 1}

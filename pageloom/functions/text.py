@@ -123,30 +123,18 @@ def heading_parts(x: Column) -> Column:
     )
 
 
+def _repaired(x: Column, steps: tuple[tuple[str, str], ...]) -> Column:
+    return reduce(lambda c, step: F.regexp_replace(c, "(?U)" + step[0], step[1].replace("\\", "$")), steps, x)
+
+
 def repair_urls(x: Column) -> Column:
     """Addresses that a scan broke by blanks, joined again."""
-    steps = (
-        (r"(?iU)(https?://)\s+", "$1"),
-        (r"(?U)(https?://\S+)\s+([A-Za-z0-9/_#?=&%-])", "$1$2"),
-        (r"(?U)(www\.\S+)\s+([A-Za-z0-9/_#?=&%-])", "$1$2"),
-        (r"(?U)((?:https?://|www\.)[A-Za-z0-9.-]+)\.\s+([A-Za-z]{2,6}\b)", "$1.$2"),
-        (r"(?U)((?:https?://|www\.)[^\s]+/)\s+([A-Za-z0-9])", "$1$2"),
-    )
-    return reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), steps, x)
+    return _repaired(x, fixed.ADDRESS_REPAIRS)
 
 
 def repair_spacing(x: Column) -> Column:
     """The part of spacing repair that needs no word list: stops, abbreviations, numbers, marks, blanks, addresses."""
-    steps = (
-        (r"(?<=[A-Za-z])\.(?=[A-Z])", ". "),
-        (r"(?U)\bU\.\s*S\.\b", "U.S."),
-        (r"(?U)\b([A-Z]\.[A-Z]\.)(?=[A-Za-z])", "$1 "),
-        (r"(?U)(?<=\d)(?=[A-Za-z]{3,})", " "),
-        (r"(?U)\s+([,.;:?!])", "$1"),
-        (r"(?U)([(\[“‘])\s+", "$1"),
-        (r"(?U)\s{2,}", " "),
-    )
-    return repair_urls(strip(reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), steps, x)))
+    return repair_urls(strip(_repaired(x, fixed.SPACING_REPAIRS)))
 
 
 def slugify(x: Column, default: str = "book") -> Column:

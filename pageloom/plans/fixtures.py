@@ -20,11 +20,11 @@ _SPARK_AGG = "listagg(part, chr(10) || chr(10)) within group (order by n)"
 _DUCK_AGG = "string_agg(part, chr(10) || chr(10) order by n)"
 
 
-def books(spark: SparkSession, sf_dir: str, noise: bool = False) -> DataFrame:
+def markdown(spark: SparkSession, sf_dir: str, noise: bool = False) -> DataFrame:
     """(doc_id, text): ``md``, or with running heads and page lines ``ocr``."""
     query = _BOOK.format(agg=_SPARK_AGG, extra=_NOISE if noise else "", table="{documents}")
     return spark.sql(query, documents=spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text"))
 
 
-def books_sql(noise: bool = False) -> str:
+def markdown_sql(noise: bool = False) -> str:
     return _BOOK.format(agg=_DUCK_AGG, extra=_NOISE if noise else "", table="documents")

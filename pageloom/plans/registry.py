@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import fixed, schemas, spelling, text as t
 from pageloom.operators import audit, blocks, bookmap, lines, packets, payloads, sections, work
 from pageloom.plans import normalize as norm, summarize
-from pageloom.plans.fixtures import books, books_sql
+from pageloom.plans.fixtures import markdown, markdown_sql
 from pageloom.sources import markdown as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,7 @@ _STRIP = r"regexp_replace(regexp_replace({0}, '^\s+', ''), '\s+$', '')"
 
 def _lines_sql(noise: bool) -> str:
     return f"""
-b AS ({books_sql(noise)}),
+b AS ({markdown_sql(noise)}),
 ls AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM b)"""
 
 
@@ -147,7 +147,7 @@ def token_estimate_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_lines_sql(True)}, {_KEYED} SELECT doc_id, CASE WHEN is_page THEN '__page__' ELSE key END AS key, count(*) AS n FROM ky WHERE is_page OR key <> '' GROUP BY ALL HAVING count(*) >= 4")
 def repeat_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.repeat_profile(src.read_lines(books(spark, sf_dir, noise=True))).where("n >= 4")
+    return lines.repeat_profile(src.read_lines(markdown(spark, sf_dir, noise=True))).where("n >= 4")
 
 
 @query(f"""
@@ -161,7 +161,7 @@ SELECT doc_id, count(*) AS input_lines, CAST(sum(CAST(removed AS INTEGER)) AS BI
        CAST(sum({_TOK.format('line')}) AS BIGINT) AS all_tokens, CAST(sum(CASE WHEN removed THEN 0 ELSE {_TOK.format('line')} END) AS BIGINT) AS kept_tokens
 FROM rm GROUP BY doc_id""")
 def boilerplate_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = lines.mark_boilerplate(src.read_lines(books(spark, sf_dir, noise=True)))
+    marked = lines.mark_boilerplate(src.read_lines(markdown(spark, sf_dir, noise=True)))
     tokens = t.token_estimate(F.col("line"))
     return marked.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("input_lines"), F.count_if("removed").alias("removed"), F.sum(tokens).alias("all_tokens"),
@@ -210,7 +210,7 @@ WITH {_lines_sql(False)}, {_HEADS}
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug, {_TITLE_KEY.format('title')} AS title_key
 FROM hd WHERE level > 0""")
 def title_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heads = sections.with_headings(sections.universal_lines(books(spark, sf_dir))).where("level > 0")
+    heads = sections.with_headings(sections.universal_lines(markdown(spark, sf_dir))).where("level > 0")
     return heads.select("doc_id", "pos", t.slugify(F.col("title")).alias("slug"), t.title_key(F.col("title")).alias("title_key"))
 
 
@@ -259,23 +259,23 @@ def split_glued(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_lines_sql(False)}, {_HEADS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(level AS INTEGER) AS level, title FROM hd WHERE level > 0")
 def heading_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.with_headings(sections.universal_lines(books(spark, sf_dir))).where("level > 0").select("doc_id", "pos", "level", "title")
+    return sections.with_headings(sections.universal_lines(markdown(spark, sf_dir))).where("level > 0").select("doc_id", "pos", "level", "title")
 
 
 @query(f"""
 WITH {_lines_sql(False)}, {_HEADS}, j AS (SELECT doc_id, level > lag(level) OVER (PARTITION BY doc_id ORDER BY pos) + 1 AS jump FROM hd WHERE level > 0)
 SELECT doc_id, CAST(sum(CASE WHEN jump THEN 1 ELSE 0 END) AS BIGINT) AS heading_skips FROM j GROUP BY doc_id""")
 def heading_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.heading_skips(books(spark, sf_dir))
+    return sections.heading_skips(markdown(spark, sf_dir))
 
 
 @query(f"WITH {_lines_sql(False)}, {_HEADS} SELECT doc_id, arg_min(title, pos) AS book_title FROM hd WHERE level = 1 GROUP BY doc_id")
 def book_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.book_titles(books(spark, sf_dir))
+    return sections.book_titles(markdown(spark, sf_dir))
 
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.sections(books(spark, sf_dir))
+    return sections.sections(markdown(spark, sf_dir))
 
 
 @query(f"WITH {_SECTIONS} SELECT doc_id, section_id, CAST(level AS INTEGER) AS level, title, path, chapter_title, CAST(token_estimate AS BIGINT) AS token_estimate, md5(raw_text) AS body FROM se")
@@ -294,7 +294,7 @@ WITH {_lines_sql(False)}, {_HEADS}
 SELECT DISTINCT doc_id, {_TITLE_KEY.format("title")} AS title_key FROM hd WHERE level > 0 AND title <> '' AND level > 1""")
 def toc_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each book's headings written out as a contents list before it, and read back from there."""
-    docs = books(spark, sf_dir)
+    docs = markdown(spark, sf_dir)
     heads = sections.with_headings(sections.universal_lines(docs)).where("level > 1")
     listed = heads.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "title"))), lambda s: F.concat(F.lit("- "), s["title"])), "\n").alias("_c"))
     return sections.contents_titles(docs.join(listed, "doc_id").select("doc_id", F.concat(F.lit("## Contents\n\n"), "_c", F.lit("\n\n"), "text").alias("text")))
@@ -360,13 +360,13 @@ def map_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def book_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = summarize.structure(books(spark, sf_dir))
+    s = summarize.structure(markdown(spark, sf_dir))
     return bookmap.render_map(s.chapters, s.titles)
 
 
 @query()
 def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarize.plan(books(spark, sf_dir))
+    return summarize.plan(markdown(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- blocks
@@ -374,7 +374,7 @@ def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of the books: headings as parsed, numbers of titles dropped, everything else a paragraph."""
-    raw = blocks.raw_blocks(src.read_lines(books(spark, sf_dir)))
+    raw = blocks.raw_blocks(src.read_lines(markdown(spark, sf_dir)))
     line = F.get("lines", F.lit(0))
     level = t.heading_level(line)
     title = F.regexp_replace(t.heading_text(line), r" \d+$", "")
@@ -396,7 +396,7 @@ bk AS (
 
 @query(f"WITH {_BLOCKS} SELECT doc_id, block_no, n_lines, md5(body) AS body FROM bk")
 def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = blocks.raw_blocks(src.read_lines(books(spark, sf_dir)))
+    rows = blocks.raw_blocks(src.read_lines(markdown(spark, sf_dir)))
     return rows.select("doc_id", "block_no", F.size("lines").cast("long").alias("n_lines"), F.md5(F.array_join("lines", " ").cast("binary")).alias("body"))
 
 
@@ -434,7 +434,7 @@ def contents_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def block_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return norm.segmented(books(spark, sf_dir, noise=True)).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("blocks"))
+    return norm.segmented(markdown(spark, sf_dir, noise=True)).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("blocks"))
 
 
 @query()
@@ -444,12 +444,12 @@ def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def normalized_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return norm.normalize(books(spark, sf_dir, noise=True))
+    return norm.normalize(markdown(spark, sf_dir, noise=True))
 
 
 @query()
 def file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return norm.file_summary(books(spark, sf_dir, noise=True))
+    return norm.file_summary(markdown(spark, sf_dir, noise=True))
 
 
 # ---------------------------------------------------------------- work
@@ -533,7 +533,7 @@ def chunk_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def chunk_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarize.chunk_prompts(summarize.structure(books(spark, sf_dir)))
+    return summarize.chunk_prompts(summarize.structure(markdown(spark, sf_dir)))
 
 
 @query()

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.functions import schemas, spelling, text as t
+from pageloom.functions import fixed, schemas, spelling, text as t
 
 
 def values(spark, inputs, expression):
@@ -13,12 +13,12 @@ def values(spark, inputs, expression):
 
 def test_hash_marks(spark):
     got = values(spark, ["# T", "#T", "## T", "###T", "# # T", "\tx  ", "####### T"], t.normalize_line)
-    assert got == ["# T", "# T", "# # T", "### T", "# # T", "  x", "###### # T"]
+    assert got == ["# T", "# T", "# # T", "## # T", "# # T", "  x", "##### # # T"]
 
 
 def test_repeat_keys(spark):
     got = values(spark, ["# Chapter 12", "did mild 3", "Ends here.", "a" * 81, "a" * 80, " ".join("ab" for _ in range(11)), "  ", "- 4. Page 9"], t.repeat_key)
-    assert got == ["chapter <n>", "<r> <r> <n>", None, None, "a" * 80, None, None, "4. page <n>"]
+    assert got == ["chapter <n>", "<r> <r> <n>", None, None, "a" * 80, None, None, "<n>. page <n>"]
 
 
 def test_page_lines(spark):
@@ -69,6 +69,42 @@ def test_glued_words():
     assert known.split("PAYPALAND") == "PAYPAL AND"
     assert known.split("unknownword") == "unknownword"
     assert known.knows("navals") and not known.knows("navy")
+    assert known.split("Tothepaypal") == "To the Paypal"
+    assert known.split("thepaypalof") == "the paypal of" and known.split("navalwith") == "naval with"
+    made = spelling.Lexicon(["Make", "ox"])
+    assert all(made.knows(w) for w in ("making", "makers", "make’s", "the-ox", "OX")) and not any(made.knows(w) for w in ("oxen", "oxs", "mak", "ox-cart"))
+
+
+def test_cuts_against_a_plain_search():
+    """The rank of cuts, against trying the shorter cuts first by hand: a stopword, then what is left."""
+    import itertools
+    import random
+
+    known, stop = spelling.Lexicon(["paypal", "then", "here", "naval", "order"]), set(fixed.NORMALIZER_STOPWORDS)
+    rng = random.Random(1)
+    pool = [*known.words, *rng.sample(sorted(stop), 25), "zzz"]
+
+    def shapes(low):
+        for i in range(2, len(low) - 1):
+            yield [(low[:i], low[i:])], "SK"
+            yield [(low[:i], low[i:j], low[j:]) for j in range(i + 2, len(low) - 1)], "SSK|SKS"
+            yield [(low[:i], low[i:])], "KS"
+
+    def fits(parts, shape):
+        return all((p in stop) if c == "S" else known.knows(p) for p, c in zip(parts, shape, strict=True))
+
+    for size in (2, 3):
+        for parts in itertools.islice(itertools.product(pool, repeat=size), 0, None, 7):
+            token = "".join(parts)
+            if 7 <= len(token) <= 22 and not known.knows(token):
+                wanted = next((" ".join(c) for cuts, kinds in shapes(token) for c in cuts for k in kinds.split("|") if len(k) == len(c) and fits(c, k)), token)
+                assert known.split(token) == wanted
+
+
+def test_fragments():
+    known = spelling.Lexicon(["paypal"])
+    got = [spelling.joined(a, b, known) for a, b in (("", "x"), ("x", ""), ("the pay- ", " pal grew"), ("well-", "known"), ("see -", "3"), ("at www.a.com/", "b c"), ("the end.", "Next"), ("the end", "goes on"))]
+    assert got == ["x", "x", "the paypal grew", "well-known", "see -3", "at www.a.com/b c", "the end.Next", "the end goes on"]
 
 
 @pytest.mark.parametrize(
