@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import cut_lineage
+from pageloom.llm.common import cut_lineage, releasing
 from pageloom.llm.components import components
 from pageloom.llm.textops import Piece, lowered, mix64, pieces, repeat_ranges
 
@@ -146,7 +146,7 @@ def frequent_elements(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
                     seen.clear()
         yield from flush()
 
-    found = docs.select("text").mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(releasing(run), "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
     top = found.orderBy(F.desc("n"), "element").limit(FREQUENT).toPandas()
     by_count = top.element.to_numpy(np.uint64)[::-1]
     order = np.argsort(by_count)
@@ -178,7 +178,7 @@ def set_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 ids = batch.column(0).slice(piece.first_row, piece.rows)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(key), pa.array(group), lists, pa.array(maps, pa.binary())], ["doc_id", "n", "key", "group", "prefix", "bitmap"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, key long, group long, prefix array<long>, bitmap binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(run), "doc_id long, n long, key long, group long, prefix array<long>, bitmap binary")
 
 
 def bitmap(elements: np.ndarray) -> bytes:
@@ -390,7 +390,7 @@ def _blocks(docs: DataFrame, members: DataFrame, width: int, percent: int) -> Da
                 ids = batch.column(0).slice(piece.first_row, piece.rows)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(data, pa.binary())], ["node", "elements"])
 
-    built = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").select("doc_id", "text").mapInArrow(build, "node long, elements binary")
+    built = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").select("doc_id", "text").mapInArrow(releasing(build), "node long, elements binary")
     return placed.join(built, "node").select("task", "side", "node", "elements")
 
 

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.common import releasing
 from pageloom.llm.textops import Piece, pieces, repeat_ranges
 
 SEQUENCE = 4096
@@ -154,10 +155,7 @@ class WordEncoder:
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.no_truncation()
+        self._path, self._tokenizer = path, None
         self._others: dict[bytes, np.ndarray] = {}
         self._held = 0
         with open(path, encoding="utf-8") as f:
@@ -170,6 +168,12 @@ class WordEncoder:
         self._merges = Merges(model) if plain else None
 
     def _by_tokenizer(self, words: list[bytes]) -> list[np.ndarray]:
+        if self._tokenizer is None:
+            # Many corpora never need it.
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self._path)
+            self._tokenizer.no_truncation()
         known = self._others
         fresh = list(dict.fromkeys(w for w in words if w not in known))
         coded = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
@@ -322,4 +326,4 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, closing
                         yield from flush()
         yield from flush()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(run), SCHEMA)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import cut_lineage
+from pageloom.llm.common import cut_lineage, releasing
 from pageloom.llm.textops import Piece, lowered, mix64, pieces, prefix_hashes, span_hashes
 
 BUCKET_BITS = 18
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn_from
         n = len(next(iter(columns.values())))
         return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], list(kinds))
 
-    counted = cut_lineage(rows.mapInArrow(count, "bucket int, n1 long, n0 long, doc_id long, good boolean, buckets binary"))
+    counted = cut_lineage(rows.mapInArrow(releasing(count), "bucket int, n1 long, n0 long, doc_id long, good boolean, buckets binary"))
     sums = counted.where("bucket is not null").groupBy("bucket").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toPandas()
     p, q = np.full(BUCKETS, SMOOTHING), np.full(BUCKETS, SMOOTHING)
     p[sums.bucket], q[sums.bucket] = p[sums.bucket] + sums.n1, q[sums.bucket] + sums.n0
@@ -187,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", learn_from
         yield pa.RecordBatch.from_arrays([pa.array([weight.astype("<f4").tobytes()]), pa.array([intercept])], ["weight", "intercept"])
 
     sample = counted.where("buckets is not null").select("doc_id", "good", "buckets").coalesce(1)
-    fitted = sample.mapInArrow(fit, "weight binary, intercept double").collect()
+    fitted = sample.mapInArrow(releasing(fit), "weight binary, intercept double").collect()
     if not fitted:
         return none
     return QualityModel(ratio, np.frombuffer(fitted[0][0], "<f4"), float(fitted[0][1]))
@@ -201,7 +201,7 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
             found = [model.scores(piece) for piece in pieces(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found) if found else np.zeros(0))], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(run), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5) -> DataFrame:
@@ -214,4 +214,4 @@ def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5) -> DataF
             if found:
                 yield batch.filter(pa.array(np.concatenate(found) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

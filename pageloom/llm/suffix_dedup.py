@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import cut_lineage
+from pageloom.llm.common import cut_lineage, releasing
 from pageloom.llm.suffixes import common_prefixes, suffix_array
 from pageloom.llm.textops import pieces, prefix_hashes, repeat_ranges, span_hashes
 
@@ -99,7 +99,7 @@ def _anchored(docs: DataFrame, span: int) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where(F.octet_length("text") >= span)
     return (
-        rows.mapInArrow(run, "doc_id long, text_key long, anchor long, segment long, first long, last long")
+        rows.mapInArrow(releasing(run), "doc_id long, text_key long, anchor long, segment long, first long, last long")
         .groupBy("anchor", "segment", "text_key", "first", "last")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
     )
@@ -280,4 +280,4 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
         .join(removed, F.col("_text_key") == F.col("_key"), "left")
         .select("doc_id", "text", "ranges")
     )
-    return untouched.union(touched).mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return untouched.union(touched).mapInArrow(releasing(cut), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
