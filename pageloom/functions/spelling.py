@@ -29,16 +29,6 @@ def repair_characters(x: Column) -> Column:
     return nfc(t.repair_characters(x))
 
 
-@F.pandas_udf(StringType())
-def _casefold(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else v.casefold())
-
-
-def casefold(x: Column) -> Column:
-    """Full case folding, where lower case differs from it only outside ASCII."""
-    return F.when(x.rlike(r"[^\x00-\x7F]"), _casefold(x)).otherwise(F.lower(x))
-
-
 class Lexicon:
     """A table of word forms: every listed word by itself, possessive, and with each regular ending (a final e may go)."""
 

@@ -5,9 +5,10 @@ White space and word bounds are Unicode's, as ``(?U)`` asks; lengths are code po
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import fixed
@@ -15,6 +16,11 @@ from pageloom.functions import fixed
 BLANK = r"(?U)\s+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, though ``body`` may use it for every item of an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
@@ -23,6 +29,15 @@ def squeeze(x: Column) -> Column:
     return F.regexp_replace(x, BLANK, " ")
 
 
+def casefold(x: Column) -> Column:
+    """Full case folding: upper case first, which spells out what has no single small letter; the dotless i stays, and
+    there is one small sigma."""
+    dotless, kept = F.lit("ı"), F.lit("\ue131")
+    # The replacement in between also keeps the optimizer from taking lower(upper(x)) for lower(x).
+    upper = F.replace(F.upper(F.replace(x, dotless, kept)), kept, dotless)
+    return F.when(x.rlike(r"[^\x00-\x7F]"), F.replace(F.lower(upper), F.lit("ς"), F.lit("σ"))).otherwise(F.lower(x))
+
+
 def starts_with_any(x: Column, prefixes) -> Column:
     return reduce(lambda a, b: a | b, [x.startswith(p) for p in prefixes])
 
@@ -145,11 +160,11 @@ def slugify(x: Column, default: str = "book") -> Column:
 def title_key(x: Column) -> Column:
     """A title without chapter words and leading numbers, in lower case, for matching."""
     text = F.regexp_replace(strip(x), r"(?iU)^(?:chapter|book|part|section)\s+\d+[.:]?\s*", "")
-    return F.lower(squeeze(F.regexp_replace(text, r"(?U)^\d+[.):]?\s*", "")))
+    return casefold(squeeze(F.regexp_replace(text, r"(?U)^\d+[.):]?\s*", "")))
 
 
 def matching_text(x: Column) -> Column:
-    return F.lower(squeeze(strip(x)))
+    return casefold(squeeze(strip(x)))
 
 
 def leading_sentence(x: Column) -> Column:
@@ -187,12 +202,8 @@ def role(kind: Column, chapter: Column, labels: Column) -> Column:
     )
 
 
-def section_kind(title: Column, raw: Column) -> Column:
-    """One of six kinds: marks of the title first, then words near the start, then principles against years."""
-    key = title_key(title)
-    near = F.concat(key, F.lit("\n"), F.lower(F.substring(raw, 1, fixed.KIND_WINDOW)))
+def _kind(key: Column, near: Column, years: Column) -> Column:
     principles = sum((near.contains(w).cast("int") for w in fixed.PRINCIPLE_WORDS), F.lit(0))
-    years = F.regexp_count(raw, F.lit("(?U)" + fixed.YEAR))
     return (
         F.when(contains_any(key, fixed.REFERENCE_TITLES), "reference")
         .when(contains_any(key, fixed.ENDMATTER_TITLES) | key.startswith("timeline"), "endmatter")
@@ -205,6 +216,26 @@ def section_kind(title: Column, raw: Column) -> Column:
     )
 
 
+def _near(key: Column, raw: Column) -> Column:
+    return F.concat(key, F.lit("\n"), casefold(F.substring(raw, 1, fixed.KIND_WINDOW)))
+
+
+def _years(raw: Column) -> Column:
+    return F.regexp_count(raw, F.lit("(?U)" + fixed.YEAR))
+
+
+def section_kind(title: Column, raw: Column) -> Column:
+    """One of six kinds: marks of the title first, then words near the start, then principles against years."""
+    key = title_key(title)
+    return _kind(key, _near(key, raw), _years(raw))
+
+
+def with_kind(rows: DataFrame, title: Column, name: str, raw: str = "raw_text") -> DataFrame:
+    """``section_kind`` as a column, its parts computed once a row."""
+    keyed = rows.withColumn("_key", title_key(title)).withColumn("_near", _near(F.col("_key"), F.col(raw))).withColumn("_years", _years(F.col(raw)))
+    return keyed.withColumn(name, _kind(F.col("_key"), F.col("_near"), F.col("_years"))).drop("_key", "_near", "_years")
+
+
 def is_supplemental_title(label: Column) -> Column:
     return contains_any(title_key(label), fixed.SUPPLEMENTAL_TITLES)
 
@@ -227,7 +258,7 @@ def any_marker(texts: Column, markers) -> Column:
 
 
 def mentions_uncertainty(notes: Column) -> Column:
-    return contains_any(F.lower(F.array_join(notes, " ")), fixed.UNCERTAINTY)
+    return contains_any(casefold(F.array_join(notes, " ")), fixed.UNCERTAINTY)
 
 
 def clean_strings(values: Column) -> Column:
@@ -236,9 +267,11 @@ def clean_strings(values: Column) -> Column:
 
 
 def distinct_in_order(values: Column) -> Column:
-    """Trimmed, without blanks, each text once by lower case, in order of first appearance."""
-    cleaned = clean_strings(values)
-    return F.filter(cleaned, lambda v, i: ~F.exists(F.slice(cleaned, F.lit(1), i), lambda w: F.lower(w) == F.lower(v)))
+    """Trimmed, without blanks, each text once by folded case, in order of first appearance."""
+    return let(
+        clean_strings(values),
+        lambda cleaned: let(F.transform(cleaned, casefold), lambda keys: F.filter(cleaned, lambda v, i: F.array_position(keys, F.get(keys, i)) == i + 1)),
+    )
 
 
 def shares_tokens(text: Column, candidates: Column) -> Column:

@@ -29,8 +29,8 @@ def _profiled(rows: DataFrame) -> DataFrame:
 def packet_profiles(packets: DataFrame, titles: DataFrame | None = None) -> DataFrame:
     """One row per packet; with ``titles``, packets of the chapter named like the book count as framing."""
     named = F.array_join("section_labels", " ")
-    kind = t.section_kind(F.when(named == "", F.col("chapter_title")).otherwise(named), F.col("raw_text"))
-    rows = packets.select("doc_id", "packet_id", "packet_no", "chapter_title", F.col("section_labels").alias("covered_sections"), kind.alias("packet_kind"))
+    kinds = t.with_kind(packets, F.when(named == "", F.col("chapter_title")).otherwise(named), "packet_kind")
+    rows = kinds.select("doc_id", "packet_id", "packet_no", "chapter_title", F.col("section_labels").alias("covered_sections"), "packet_kind")
     if titles is not None:
         titled = (t.title_key(F.col("chapter_title")) == t.title_key(F.col("book_title"))) & F.col("packet_kind").isin("reference", "mixed")
         rows = rows.join(titles, "doc_id").withColumn("packet_kind", F.when(titled, "framing").otherwise(F.col("packet_kind"))).drop("book_title")
@@ -53,7 +53,7 @@ def kind_votes(profiles: DataFrame, weighted: bool = True) -> DataFrame:
 
 def chapter_profiles(profiles: DataFrame, sections: DataFrame) -> DataFrame:
     """One row per chapter in order of appearance; of titles that differ only by case, the first alone."""
-    order = Window.partitionBy("doc_id", F.lower(t.strip(F.col("chapter_title")))).orderBy("packet_no")
+    order = Window.partitionBy("doc_id", t.casefold(t.strip(F.col("chapter_title")))).orderBy("packet_no")
     first = profiles.withColumn("_n", F.row_number().over(order)).where((F.col("_n") == 1) & (t.strip(F.col("chapter_title")) != ""))
     first = first.select("doc_id", t.strip(F.col("chapter_title")).alias("chapter_title"), F.col("packet_no").alias("chapter_pos"))
     labels = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("packet_no", "covered_sections"))), lambda s: s["covered_sections"]))

@@ -29,14 +29,14 @@ def first_lines(lines: DataFrame) -> DataFrame:
     return lines.where(~t.is_blank(F.col("line"))).groupBy("doc_id").agg(F.min("pos").alias("first_pos"))
 
 
-def mark_boilerplate(lines: DataFrame, repeats: int = REPEATS) -> DataFrame:
+def mark_boilerplate(lines: DataFrame, repeats: int = REPEATS, repaired: bool = False) -> DataFrame:
     """Lines with ``removed``: page lines, and lines whose key repeats, but for a first line and chapter headings.
 
     One exchange by document serves both windows.
     """
     by_key = Window.partitionBy("doc_id", "key")
     by_doc = Window.partitionBy("doc_id")
-    marked = keyed(lines).withColumn("first_pos", F.min(F.when(~t.is_blank(F.col("line")), F.col("pos"))).over(by_doc)).withColumn(
+    marked = keyed(lines, repaired).withColumn("first_pos", F.min(F.when(~t.is_blank(F.col("line")), F.col("pos"))).over(by_doc)).withColumn(
         "n", F.when(F.col("key").isNotNull(), F.count(F.lit(1)).over(by_key))
     )
     heading = F.ltrim(F.col("line")).startswith("#") & t.starts_with_any(F.lower(t.without_markers(F.col("line"))), ("chapter ", "book ", "part "))
@@ -68,7 +68,7 @@ def split_lists(lines: DataFrame) -> DataFrame:
 
 
 def ordered_dedup(rows: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
-    """First rows of each trimmed value, compared in lower case, within ``by``."""
+    """First rows of each trimmed value, compared by folded case, within ``by``."""
     cleaned = rows.withColumn(value, t.strip(F.col(value))).where(F.col(value) != "")
-    first = Window.partitionBy(*by, F.lower(F.col(value))).orderBy(*order)
+    first = Window.partitionBy(*by, t.casefold(F.col(value))).orderBy(*order)
     return cleaned.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")

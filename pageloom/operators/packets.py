@@ -7,7 +7,9 @@ matters, and that greedy count is the one fold; it sees numbers, never text.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,35 +18,36 @@ from pageloom.functions import fixed, text as t
 SEPARATOR = "\n\n---\n\n"
 
 
-def greedy_groups(sizes: list[int], target: int, close_at: int | None = None) -> list[int]:
-    """Group numbers of items in order: an item that would overflow ``target`` opens the next group, and a
-    group that has reached ``close_at`` takes no more."""
-    groups, group, held, empty = [], 0, 0, True
-    for size in sizes:
-        if not empty and (held + size > target or (close_at is not None and held >= close_at)):
-            group, held = group + 1, 0
-        groups.append(group)
-        held, empty = held + size, False
-    return groups
-
+def greedy_parts(rows: DataFrame, by: list[str], order: str, size: str, target: int, close_at: int | None = None) -> DataFrame:
+    """by + [order, part]: greedy groups of rows in order.  An item that would overflow ``target`` opens the next group, and a
+    group that has reached ``close_at`` takes no more.
 
-def _grouped(rows: DataFrame, by: list[str], order: list[str], size: str, target: int, close_at: int | None = None) -> DataFrame:
-    """Adds ``part``, the greedy group of each row within ``by``, in ``order``."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", part long"
+    One pass over each partition's sorted numbers, which keeps three of them between rows, however many rows a
+    document has.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        return group.assign(part=greedy_groups(group[size].tolist(), target, close_at))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, part, held = None, 0, 0
+        for batch in batches:
+            parts = []
+            sizes = batch.column(len(by) + 1).to_pylist()
+            for key, n in zip(zip(*(batch.column(k).to_pylist() for k in range(len(by))), strict=True), sizes, strict=True):
+                if key != last:
+                    last, part, held = key, 0, 0
+                elif held + n > target or (close_at is not None and held >= close_at):
+                    part, held = part + 1, 0
+                held += n
+                parts.append(part)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(parts, pa.int64())], [*by, order, "part"])
 
-    return rows.groupBy(*by).applyInPandas(fold, schema)
+    sorted_rows = rows.select(*by, order, size).repartition(by[0]).sortWithinPartitions(*by, order)
+    return sorted_rows.mapInArrow(run, ", ".join(f"`{c}` {fields[c]}" for c in [*by, order]) + ", part long")
 
 
 def with_flags(sections: DataFrame, most: int) -> DataFrame:
-    label = F.array_join("path", " > ")
-    kind = t.section_kind(label, F.col("raw_text"))
     return (
-        sections.withColumn("label", label)
-        .withColumn("kind", kind)
+        t.with_kind(sections.withColumn("label", F.array_join("path", " > ")), F.col("label"), "kind")
         .withColumn("is_doc", F.col("kind").isin(*fixed.DOCUMENTARY))
         .withColumn("is_supplemental", t.is_supplemental_title(F.col("label")))
         .withColumn("is_big", F.col("token_estimate") > most)
@@ -66,14 +69,14 @@ def large_section_parts(sections: DataFrame, target: int, most: int) -> DataFram
     paragraphs = F.filter(F.transform(F.split("raw_text", "\n{2,}"), t.strip), lambda p: p != "")
     rows = sections.where(F.col("token_estimate") > most).select("doc_id", "pos", F.posexplode(paragraphs).alias("n", "paragraph"))
     sized = rows.select("doc_id", "pos", "n", t.token_estimate(F.col("paragraph")).alias("tokens"))
-    return _grouped(sized, ["doc_id", "pos"], ["n"], "tokens", target, most).join(rows, ["doc_id", "pos", "n"])
+    return greedy_parts(sized, ["doc_id", "pos"], "n", "tokens", target, most).join(rows, ["doc_id", "pos", "n"])
 
 
 def packets(sections: DataFrame, target: int = 6500, most: int = 8500) -> DataFrame:
     """doc_id, packet_id, chapter_title, section_labels, raw_text, token_estimate, packet_no."""
     placed = islands(with_flags(sections, most))
-    small = _grouped(placed.where(~F.col("is_big")).select("doc_id", "pos", "island", "token_estimate"), ["doc_id", "island"], ["pos"], "token_estimate", target)
-    small = small.select("doc_id", "pos", "island", "part").join(placed.select("doc_id", "pos", "label", "chapter_title", "raw_text"), ["doc_id", "pos"])
+    small = greedy_parts(placed.where(~F.col("is_big")), ["doc_id", "island"], "pos", "token_estimate", target)
+    small = small.join(placed.select("doc_id", "pos", "label", "chapter_title", "raw_text"), ["doc_id", "pos"])
     in_order = lambda column: F.transform(F.array_sort(F.collect_list(F.struct("pos", column))), lambda s: s[column])
     gathered = small.groupBy("doc_id", "island", "part").agg(
         F.min("pos").alias("first"), F.min_by("chapter_title", "pos").alias("chapter_title"), in_order("label").alias("section_labels"),

@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pageloom.functions import schemas, text as t
 
@@ -30,33 +30,44 @@ FINAL_TYPE = (
 ISSUES_TYPE = "issues array<struct<severity:string,problem:string,correction:string>>"
 
 
+def _faults(payload: str | None, names: tuple[str, ...]) -> list[dict]:
+    try:
+        value = json.loads(payload) if payload is not None else None
+    except ValueError as e:
+        return [{"schema_name": n, "ord": 0, "path": "$", "message": f"not JSON: {e.__class__.__name__}"} for n in names]
+    return [{"schema_name": n, "ord": k, "path": p, "message": m} for n in names for k, (p, m) in enumerate(schemas.errors(value, schemas.SCHEMAS[n]))]
+
+
 def schema_errors(rows: DataFrame, stage: str) -> DataFrame:
-    """(item_id, schema_name, ord, path, message): what each schema of the stage has against each payload."""
-    names = schemas.STAGE_SCHEMAS[stage]
+    """(doc_id, item_id, schema_name, ord, path, message): what each schema of the stage has against each payload."""
+    names = tuple(schemas.STAGE_SCHEMAS[stage])
 
-    @F.udf(T.ArrayType(T.StructType.fromDDL("schema_name string, ord int, path string, message string")))
-    def check(payload: str | None):
-        try:
-            value = json.loads(payload) if payload is not None else None
-        except ValueError as e:
-            return [(name, 0, "$", f"not JSON: {e.__class__.__name__}") for name in names]
-        return [(name, k, *e) for name in names for k, e in enumerate(schemas.errors(value, schemas.SCHEMAS[name]))]
+    @F.pandas_udf("array<struct<schema_name:string,ord:int,path:string,message:string>>")
+    def check(payloads: pd.Series) -> pd.Series:
+        return pd.Series([_faults(p, names) for p in payloads])
 
-    return rows.select("item_id", F.explode(check("payload")).alias("e")).select("item_id", "e.*")
+    return rows.select("doc_id", "item_id", F.explode(check("payload")).alias("e")).select("doc_id", "item_id", "e.*")
 
 
 def matched_schema(rows: DataFrame, stage: str) -> DataFrame:
-    """Payloads with ``matched``: the first schema of the stage that has nothing against them, else null."""
-    faults = schema_errors(rows, stage).groupBy("item_id").agg(F.collect_set("schema_name").alias("_f"))
-    names = F.array(*map(F.lit, schemas.STAGE_SCHEMAS[stage]))
-    joined = rows.join(faults, "item_id", "left")
-    return joined.withColumn("matched", F.get(F.array_except(names, F.coalesce("_f", F.array().cast(_STRINGS))), F.lit(0))).drop("_f")
+    """Payloads with ``matched``: the first schema of the stage that has nothing against them, else null.
+
+    Item ids repeat from document to document, and a document may answer an item twice: each row has its own match.
+    """
+    names = tuple(schemas.STAGE_SCHEMAS[stage])
+
+    @F.pandas_udf("string")
+    def first(payloads: pd.Series) -> pd.Series:
+        faulty = [{f["schema_name"] for f in _faults(p, names)} for p in payloads]
+        return pd.Series([next((n for n in names if n not in f), None) for f in faulty], dtype=object)
+
+    return rows.withColumn("matched", first("payload"))
 
 
 def validate(rows: DataFrame, stage: str) -> DataFrame:
     """Payloads with their schema; the query fails on the first one that matches none."""
     checked = matched_schema(rows, stage)
-    complaint = F.raise_error(F.concat(F.col("item_id"), F.lit(f" does not match expected schema of stage {stage}")))
+    complaint = F.raise_error(F.concat_ws(" ", F.col("doc_id").cast("string"), F.col("item_id"), F.lit(f"does not match expected schema of stage {stage}")))
     return checked.withColumn("matched", F.coalesce("matched", complaint.cast("string")))
 
 

@@ -25,61 +25,81 @@ def with_headings(lines: DataFrame) -> DataFrame:
 def book_titles(docs: DataFrame, default: Column | None = None) -> DataFrame:
     """(doc_id, book_title): the first heading of level 1, else the document's name made readable."""
     name = F.regexp_extract(F.col("doc_id").cast("string"), r"([^/]*?)(?:\.[^./]*)?$", 1) if default is None else default
-    first = with_headings(universal_lines(docs)).groupBy("doc_id").agg(F.min_by("title", F.when(F.col("level") == 1, F.col("pos"))).alias("_t"))
-    return first.select("doc_id", F.coalesce("_t", F.trim(F.translate(name, "_-", "  "))).alias("book_title"))
+    title = F.get(F.filter("heads", lambda h: h["level"] == 1), F.lit(0))["title"]
+    return _outlined(docs).select("doc_id", F.coalesce(title, F.trim(F.translate(name, "_-", "  "))).alias("book_title"))
+
+
+def _entry(line: Column) -> Column:
+    return t.strip(F.regexp_extract(t.strip(line), r"(?U)^\s*(?:[-*+]\s+)?(?:\d+[.):]?\s+)?(.+?)\s*$", 1))
 
 
 def contents_titles(docs: DataFrame) -> DataFrame:
     """(doc_id, title_key): entries between the first Contents heading and the next heading of another title."""
-    rows = with_headings(universal_lines(docs))
-    by_doc = Window.partitionBy("doc_id")
-    is_contents = (F.col("level") > 0) & (F.lower("title") == "contents")
-    begun = rows.withColumn("_from", F.min(F.when(is_contents, F.col("pos"))).over(by_doc)).where(F.col("pos") > F.col("_from"))
-    ended = begun.withColumn("_to", F.min(F.when((F.col("level") > 0) & ~is_contents, F.col("pos"))).over(by_doc))
-    entry = F.regexp_extract(t.strip(F.col("line")), r"(?U)^\s*(?:[-*+]\s+)?(?:\d+[.):]?\s+)?(.+?)\s*$", 1)
-    inside = ended.where((F.col("level") == 0) & (F.col("_to").isNull() | (F.col("pos") < F.col("_to")))).select("doc_id", t.strip(entry).alias("entry"))
-    return inside.where("entry <> ''").select("doc_id", t.title_key(F.col("entry")).alias("title_key")).distinct()
-
-
-def with_anchors(headings: DataFrame, contents: DataFrame) -> DataFrame:
-    """Headings with ``is_anchor``: listed in the contents, named like a chapter, or front or back matter."""
-    listed = contents.select("doc_id", F.col("title_key").alias("_key"), F.lit(True).alias("_listed"))
-    keyed = headings.withColumn("_key", t.title_key(F.col("title")))
-    chapter = F.col("title").rlike(r"(?iU)^(chapter|book|part|section|appendix|prologue|epilogue)\b")
-    matter = (F.col("level") <= 2) & t.is_matter_title(F.col("title"))
-    return keyed.join(listed, ["doc_id", "_key"], "left").withColumn("is_anchor", F.coalesce("_listed", F.lit(False)) | chapter | matter).drop("_key", "_listed")
+    return _outlined(docs).select("doc_id", F.explode("listed").alias("title_key"))
+
+
+def _outlined(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, lines, heads, listed): a document's lines, its headings (pos, level, title), and the title keys of its
+    contents table, all within the row."""
+    split = docs.select("doc_id", "text", F.split(F.regexp_replace("text", rf"(?:{_BREAKS})\z", ""), _BREAKS, -1).alias("lines"))
+
+    def head(x: Column, i: Column) -> Column:
+        line = t.strip(x)
+        return F.struct(i.alias("pos"), F.length(F.regexp_extract(line, SECTION_HEADING, 1)).alias("level"), F.regexp_extract(line, SECTION_HEADING, 2).alias("title"))
+
+    # Only a line with a mark can be a heading: the others are not parsed.
+    marked = F.filter(F.transform("lines", lambda x, i: F.when(x.contains("#"), head(x, i))), lambda h: h.isNotNull() & (h["level"] > 0))
+    heads = split.withColumn("heads", marked)
+    is_contents = lambda h: t.casefold(h["title"]) == "contents"
+    first = lambda hs: F.array_min(F.transform(hs, lambda h: h["pos"]))
+
+    def listed(begin: Column) -> Column:
+        end = F.coalesce(first(F.filter("heads", lambda h: ~is_contents(h) & (h["pos"] > begin))), F.size("lines"))
+        within = F.slice("lines", begin + 2, F.greatest(end - begin - 1, F.lit(0)))
+        entries = F.transform(F.filter(within, lambda x: F.length(F.regexp_extract(t.strip(x), SECTION_HEADING, 1)) == 0), _entry)
+        return F.array_distinct(F.transform(F.filter(entries, lambda e: e != ""), t.title_key))
+
+    none = F.array().cast("array<string>")
+    return heads.withColumn("listed", F.coalesce(t.let(first(F.filter("heads", is_contents)), lambda begin: F.when(begin.isNotNull(), listed(begin))), none))
 
 
 def sections(docs: DataFrame, titles: DataFrame | None = None) -> DataFrame:
     """One row per section: doc_id, section_id, level, title, path, chapter_title, raw_text, token_estimate, pos.
 
-    Everything is a window over one document in line order; bodies are gathered after the only grouping.
+    Lines are split and gathered again within the document's row; the only exchange deals sections by document for
+    the windows over their headings.
     """
-    rows = with_headings(universal_lines(docs))
-    before = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = rows.withColumn("_no", F.sum((F.col("level") > 0).cast("int")).over(before))
-    heads = with_anchors(numbered.where("level > 0").select("doc_id", "_no", "pos", "level", "title"), contents_titles(docs))
-    for k in range(1, 7):
-        heads = heads.withColumn(f"_at{k}", F.last(F.when(F.col("level") == k, F.col("pos")), True).over(before)).withColumn(
-            f"_t{k}", F.last(F.when(F.col("level") == k, F.col("title")), True).over(before)
-        )
+    body = lambda first, last: F.array_join(F.slice("lines", first, F.greatest(last, F.lit(0))), "\n")
+    outlined = _outlined(docs)
+    following = lambda k: F.coalesce(F.get(F.col("heads"), k + 1)["pos"], F.size("lines"))
+    parts = F.transform("heads", lambda h, k: F.struct(
+        (k + 1).alias("_no"), h["pos"].alias("_pos"), h["level"].alias("level"), h["title"].alias("title"),
+        body(h["pos"] + 2, following(k) - h["pos"] - 1).alias("_body"),
+    ))
+    top = F.coalesce(F.get("heads", F.lit(0))["pos"], F.size("lines"))
+    front = F.struct(F.lit(0).alias("_no"), F.lit(-1).alias("_pos"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("title"), body(F.lit(1), top).alias("_body"))
+    rows = outlined.select("doc_id", "listed", F.explode(F.concat(F.array(front), parts)).alias("_s")).select("doc_id", "listed", "_s.*")
+    rows = rows.withColumn("_body", t.strip(F.col("_body"))).where((F.col("_no") > 0) | (F.col("_body") != ""))
+
+    chapter = F.col("title").rlike(r"(?iU)^(chapter|book|part|section|appendix|prologue|epilogue)\b")
+    matter = (F.col("level") <= 2) & t.is_matter_title(F.col("title"))
+    anchor = F.array_contains("listed", t.title_key(F.col("title"))) | chapter | matter | (F.col("_no") == 1)
+    before = Window.partitionBy("doc_id").orderBy("_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda holds, x: F.last(F.when(holds, F.col(x)), True).over(before)
+    at = {k: (last(F.col("level") == k, "_pos").alias(f"_at{k}"), last(F.col("level") == k, "title").alias(f"_t{k}")) for k in range(1, 7)}
+    placed = rows.withColumn("_anchor", anchor).select("*", *[c for pair in at.values() for c in pair], last(F.col("_anchor"), "title").alias("chapter_title"))
     shallower = [F.greatest(F.lit(-1), *[F.coalesce(F.col(f"_at{j}"), F.lit(-1)) for j in range(1, k)]) if k > 1 else F.lit(-1) for k in range(1, 7)]
     steps = F.array(*[F.when((F.col("level") >= k) & (F.col(f"_at{k}") > shallower[k - 1]), F.col(f"_t{k}")) for k in range(1, 7)])
-    chapter = F.last(F.when(F.col("is_anchor") | (F.col("_no") == 1), F.col("title")), True).over(before)
-    heads = heads.select("doc_id", "_no", F.col("pos").alias("_pos"), F.col("level").alias("_level"), F.col("title").alias("_title"), F.filter(steps, lambda s: s.isNotNull()).alias("path"), chapter.alias("chapter_title"))
-    bodies = numbered.groupBy("doc_id", "_no").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("level") == 0, F.struct("pos", "line")))), lambda s: s["line"]), "\n").alias("_body")
-    )
-    joined = bodies.join(heads, ["doc_id", "_no"], "left")
-    raw = F.when(F.col("_no") == 0, t.strip(F.col("_body"))).otherwise(t.strip(F.concat(F.repeat(F.lit("#"), F.col("_level")), F.lit(" "), F.col("_title"), F.lit("\n\n"), t.strip(F.col("_body")))))
-    front = F.lit("Front Matter")
-    found = joined.where((F.col("_no") > 0) | (t.strip(F.col("_body")) != "")).select(
-        "doc_id", F.format_string("s%04d", "_no").alias("section_id"), F.coalesce("_level", F.lit(1)).alias("level"), F.coalesce("_title", front).alias("title"),
-        F.coalesce("path", F.array(front)).alias("path"), F.coalesce("chapter_title", front).alias("chapter_title"), raw.alias("raw_text"),
-        F.col("_no").cast("long").alias("pos"),
+    first = F.lit("Front Matter")
+    raw = F.when(F.col("_no") == 0, F.col("_body")).otherwise(t.strip(F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), F.col("title"), F.lit("\n\n"), F.col("_body"))))
+    found = placed.select(
+        "doc_id", F.format_string("s%04d", "_no").alias("section_id"), F.coalesce("level", F.lit(1)).alias("level"), F.coalesce("title", first).alias("title"),
+        F.when(F.col("_no") == 0, F.array(first)).otherwise(F.filter(steps, lambda x: x.isNotNull())).alias("path"), F.coalesce("chapter_title", first).alias("chapter_title"),
+        raw.alias("raw_text"), F.col("_no").cast("long").alias("pos"),
     )
     named = book_titles(docs) if titles is None else titles
-    empty = docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").join(named, "doc_id").select(
+    blank = outlined.where((F.size("heads") == 0) & (t.strip(F.array_join("lines", "\n")) == ""))
+    empty = blank.select("doc_id", "text").join(named, "doc_id").select(
         "doc_id", F.lit("s0001").alias("section_id"), F.lit(1).alias("level"), F.col("book_title").alias("title"), F.array("book_title").alias("path"),
         F.col("book_title").alias("chapter_title"), t.strip(F.col("text")).alias("raw_text"), F.lit(1).cast("long").alias("pos"),
     )

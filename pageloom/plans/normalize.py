@@ -12,8 +12,8 @@ from pageloom.sources.markdown import read_lines
 
 def filtered_lines(docs: DataFrame) -> DataFrame:
     """Lines of all documents, characters repaired, boilerplate marked."""
-    repaired = docs.select("doc_id", spelling.nfc(F.col("text")).alias("text"))
-    return ln.mark_boilerplate(read_lines(repaired))
+    repaired = docs.select("doc_id", spelling.repair_characters(F.col("text")).alias("text"))
+    return ln.mark_boilerplate(read_lines(repaired), repaired=True)
 
 
 def segmented(docs: DataFrame, words: tuple[str, ...] = fixed.LEXICON) -> DataFrame:

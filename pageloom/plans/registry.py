@@ -107,13 +107,14 @@ def _kind_sql(title: str, raw: str) -> str:
 
 _PRIORITY_SQL = "CASE {0} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in fixed.PRIORITY.items()) + " ELSE 3 END"
 
+#: Runs of small sections by target; sections above ``most`` alone, by paragraphs.
 _PACKETS = f"""
 {_SECTIONS},
-sk AS (SELECT *, {_kind_sql('path', 'raw_text')} AS kind, {_any(_TITLE_KEY.format('path'), fixed.SUPPLEMENTAL_TITLES)} AS supp FROM se),
+sk AS (SELECT *, token_estimate > {{most}} AS big, {_kind_sql('path', 'raw_text')} AS kind, {_any(_TITLE_KEY.format('path'), fixed.SUPPLEMENTAL_TITLES)} AS supp FROM se),
 br AS (
   SELECT *, kind IN ('reference', 'endmatter') AS doc, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM sk),
 bs AS (
-  SELECT *, CASE WHEN i = 1 OR chapter_title <> lag(chapter_title) OVER w OR doc <> lag(doc) OVER w OR supp <> lag(supp) OVER w THEN 1 ELSE 0 END AS brk
+  SELECT *, CASE WHEN i = 1 OR big OR lag(big) OVER w OR chapter_title <> lag(chapter_title) OVER w OR doc <> lag(doc) OVER w OR supp <> lag(supp) OVER w THEN 1 ELSE 0 END AS brk
   FROM br WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 fold(doc_id, i, packet, cum) AS (
   SELECT doc_id, i, CAST(1 AS BIGINT), CAST(token_estimate AS BIGINT) FROM bs WHERE i = 1
@@ -121,12 +122,31 @@ fold(doc_id, i, packet, cum) AS (
   SELECT n.doc_id, n.i, f.packet + CASE WHEN n.brk = 1 OR f.cum + n.token_estimate > {{target}} THEN 1 ELSE 0 END,
          CASE WHEN n.brk = 1 OR f.cum + n.token_estimate > {{target}} THEN n.token_estimate ELSE f.cum + n.token_estimate END
   FROM fold f JOIN bs n ON n.doc_id = f.doc_id AND n.i = f.i + 1),
+pp AS (SELECT doc_id, pos, list_filter(list_transform(string_split_regex(raw_text, '\\n\\n+'), lambda p: {_STRIP.format('p')}), lambda p: p <> '') AS ps FROM se WHERE token_estimate > {{most}}),
+pr AS (SELECT doc_id, pos, unnest(ps) AS paragraph, unnest(range(len(ps))) AS n FROM pp),
+pt AS (SELECT *, {_TOK.format('paragraph')} AS tok FROM pr),
+cuts(doc_id, pos, n, part, cum) AS (
+  SELECT doc_id, pos, n, CAST(0 AS BIGINT), CAST(tok AS BIGINT) FROM pt WHERE n = 0
+  UNION ALL
+  SELECT x.doc_id, x.pos, x.n, f.part + CASE WHEN f.cum >= {{most}} OR f.cum + x.tok > {{target}} THEN 1 ELSE 0 END,
+         CASE WHEN f.cum >= {{most}} OR f.cum + x.tok > {{target}} THEN x.tok ELSE f.cum + x.tok END
+  FROM cuts f JOIN pt x ON x.doc_id = f.doc_id AND x.pos = f.pos AND x.n = f.n + 1),
+ev AS (
+  SELECT s.doc_id, min(s.pos) AS first, 0 AS part, min(s.chapter_title) AS chapter_title, list(s.path ORDER BY s.pos) AS labels,
+         string_agg(s.raw_text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY s.pos) AS raw_text
+  FROM fold f JOIN bs s ON s.doc_id = f.doc_id AND s.i = f.i WHERE NOT s.big GROUP BY s.doc_id, f.packet
+  UNION ALL
+  SELECT c.doc_id, c.pos, c.part, min(s.chapter_title), [min(s.path) || ' (part ' || (c.part + 1) || ')'], string_agg(p.paragraph, chr(10) || chr(10) ORDER BY p.n)
+  FROM cuts c JOIN pt p ON p.doc_id = c.doc_id AND p.pos = c.pos AND p.n = c.n JOIN se s ON s.doc_id = c.doc_id AND s.pos = c.pos GROUP BY c.doc_id, c.pos, c.part),
 pk AS (
-  SELECT s.doc_id, f.packet, printf('p%04d', CAST(f.packet AS INTEGER)) AS packet_id, min(s.chapter_title) AS chapter_title, count(*) AS n_sections,
-         string_agg(s.path, ' ' ORDER BY s.pos) AS labels, string_agg(s.raw_text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY s.pos) AS raw_text
-  FROM fold f JOIN bs s ON s.doc_id = f.doc_id AND s.i = f.i GROUP BY s.doc_id, f.packet)"""
+  SELECT *, printf('p%04d', CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first, part) AS INTEGER)) AS packet_id, len(labels) AS n_sections FROM ev)"""
+
+
+def _packets_sql(target: int, most: int) -> str:
+    return _PACKETS.replace("{target}", str(target)).replace("{most}", str(most))
+
 
-TARGET, MOST = 2000, 20_000
+TARGET, MOST = 2000, 3000
 
 # ---------------------------------------------------------------- lines
 
@@ -177,7 +197,13 @@ def ordered_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.ordered_dedup(src.read_lines(_table(spark, sf_dir, "documents")), ["doc_id"], ["pos"], "line")
 
 
-@query()
+@query("""
+WITH d AS (SELECT doc_id, regexp_replace('• ' || replace(text, '. ', ' • '), '\\n$', '') AS text FROM documents),
+ls AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
+it AS (
+  SELECT doc_id, pos, CASE WHEN starts_with(line, '• ') AND contains(substr(line, 3), ' • ')
+    THEN list_transform(list_filter(list_transform(string_split(substr(line, 3), ' • '), lambda p: trim(p)), lambda p: p <> ''), lambda p: '• ' || p) ELSE [line] END AS items FROM ls)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(unnest(range(len(items))) AS INTEGER) AS part, unnest(items) AS line FROM it""")
 def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("• "), F.replace("text", F.lit(". "), F.lit(" • "))).alias("text"))
     return lines.split_lists(src.read_lines(docs))
@@ -215,7 +241,7 @@ def title_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents)
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+')) AS token FROM documents)
 SELECT doc_id, count(DISTINCT token) AS tokens FROM w WHERE length(token) >= 4 AND token NOT IN ({_list(fixed.GROUNDING_STOPWORDS)}) GROUP BY doc_id""")
 def significant_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "documents").select("doc_id", F.size(t.significant_tokens(F.col("text"))).cast("long").alias("tokens"))
@@ -223,8 +249,8 @@ def significant_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents),
-k AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM benchmark)
+WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+')) AS token FROM documents),
+k AS (SELECT DISTINCT unnest(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+')) AS token FROM benchmark)
 SELECT doc_id, count(*) AS shared FROM w WHERE length(token) >= 4 AND token NOT IN ({_list(fixed.GROUNDING_STOPWORDS)}) AND token IN (SELECT token FROM k) GROUP BY doc_id""")
 def grounding_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = _table(spark, sf_dir, "documents").select("doc_id", F.explode(t.significant_tokens(F.col("text"))).alias("token"))
@@ -307,7 +333,7 @@ def _packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packets.packets(_sections(spark, sf_dir), TARGET, MOST)
 
 
-@query(f"WITH RECURSIVE {_PACKETS.replace("{target}", str(TARGET))} SELECT doc_id, packet_id, chapter_title, n_sections, CAST({_TOK.format('raw_text')} AS BIGINT) AS token_estimate, md5(raw_text) AS body FROM pk")
+@query(f"WITH RECURSIVE {_packets_sql(TARGET, MOST)} SELECT doc_id, packet_id, chapter_title, n_sections, CAST({_TOK.format('raw_text')} AS BIGINT) AS token_estimate, md5(raw_text) AS body FROM pk")
 def packet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packets(spark, sf_dir).select(
         "doc_id", "packet_id", "chapter_title", F.size("section_labels").cast("long").alias("n_sections"), "token_estimate", F.md5(F.col("raw_text").cast("binary")).alias("body")
@@ -329,7 +355,7 @@ def large_section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packets.large_section_parts(_sections(spark, sf_dir), 200, 300).select("doc_id", "pos", "n", "part")
 
 
-_PROFILED = f"{_PACKETS.replace("{target}", str(TARGET))}, pf AS (SELECT *, {_kind_sql('labels', 'raw_text')} AS kind FROM pk)"
+_PROFILED = f"{_packets_sql(TARGET, MOST)}, pf AS (SELECT *, {_kind_sql("array_to_string(labels, ' ')", 'raw_text')} AS kind FROM pk)"
 
 
 @query(f"WITH RECURSIVE {_PROFILED} SELECT doc_id, packet_id, kind AS packet_kind, CAST({_PRIORITY_SQL.format('kind')} AS INTEGER) AS priority_weight FROM pf")
@@ -337,22 +363,40 @@ def packet_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bookmap.packet_profiles(_packets(spark, sf_dir)).select("doc_id", "packet_id", "packet_kind", "priority_weight")
 
 
-@query(f"""
-WITH RECURSIVE {_PROFILED},
+_CHAPTERS = f"""{_PROFILED},
 vo AS (SELECT *, {_PRIORITY_SQL.format('kind')} AS weight, kind IN ('reference', 'endmatter') AS doc FROM pf),
 vt AS (SELECT *, min(CAST(doc AS INTEGER)) OVER (PARTITION BY doc_id, chapter_title) AS alldoc FROM vo),
 vs AS (SELECT doc_id, chapter_title, kind, sum(weight) AS votes FROM vt WHERE alldoc = 1 OR NOT doc GROUP BY ALL),
 vr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chapter_title ORDER BY votes DESC, {_PRIORITY_SQL.format('kind')} DESC, kind) AS r FROM vs),
-cs AS (SELECT doc_id, chapter_title, count(*) AS section_count FROM se GROUP BY ALL)
-SELECT v.doc_id, v.chapter_title, r.kind AS chapter_kind, CAST(max(v.weight) AS INTEGER) AS priority_weight, count(*) AS packet_count, min(cs.section_count) AS section_count
-FROM vo v JOIN vr r ON r.doc_id = v.doc_id AND r.chapter_title = v.chapter_title AND r.r = 1 JOIN cs ON cs.doc_id = v.doc_id AND cs.chapter_title = v.chapter_title
-GROUP BY v.doc_id, v.chapter_title, r.kind""")
+cs AS (SELECT doc_id, chapter_title, count(*) AS section_count FROM se GROUP BY ALL),
+ch AS (
+  SELECT v.doc_id, v.chapter_title, r.kind AS chapter_kind, CAST(max(v.weight) AS INTEGER) AS priority_weight, count(*) AS packet_count, min(cs.section_count) AS section_count
+  FROM vo v JOIN vr r ON r.doc_id = v.doc_id AND r.chapter_title = v.chapter_title AND r.r = 1 JOIN cs ON cs.doc_id = v.doc_id AND cs.chapter_title = v.chapter_title
+  GROUP BY v.doc_id, v.chapter_title, r.kind)"""
+
+
+@query(f"WITH RECURSIVE {_CHAPTERS} SELECT * FROM ch")
 def chapter_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bookmap.chapter_profiles(bookmap.packet_profiles(_packets(spark, sf_dir)), _sections(spark, sf_dir))
     return rows.select("doc_id", "chapter_title", "chapter_kind", "priority_weight", "packet_count", "section_count")
 
 
-@query()
+_SUPPLEMENTAL = _any(r"lower(trim(regexp_replace(x, '\s+', ' ', 'g')))", fixed.AUDIT_SUPPLEMENTAL)
+
+
+@query(f"""
+WITH RECURSIVE {_CHAPTERS},
+w AS (
+  SELECT doc_id, 'packet' AS scope, packet_id AS item, 0 AS ord, packet_id || ': packet mixes likely supplemental/endmatter sections with core chapter material; consider splitting earlier' AS warning
+  FROM vo WHERE len(list_filter(labels, lambda x: {_SUPPLEMENTAL})) BETWEEN 1 AND len(labels) - 1
+  UNION ALL
+  SELECT doc_id, 'packet', packet_id, 1, packet_id || ': packet is still classified as mixed at priority ' || weight || '; review weighting before summarizing' FROM vo WHERE kind = 'mixed' AND weight >= 3
+  UNION ALL
+  SELECT doc_id, 'chapter', chapter_title, 0, chapter_title || ': chapter remains mixed in the map; summaries may need extra proportion judgment' FROM ch WHERE chapter_kind = 'mixed' AND priority_weight >= 3
+  UNION ALL
+  SELECT doc_id, 'chapter', chapter_title, 1, chapter_title || ': chapter is classified as documentary despite high priority; review upstream packet splitting or weighting'
+  FROM ch WHERE chapter_kind IN ('reference', 'endmatter') AND priority_weight >= 4)
+SELECT doc_id, scope, item, CAST(ord AS INTEGER) AS ord, warning FROM w""")
 def map_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = bookmap.packet_profiles(_packets(spark, sf_dir))
     return bookmap.map_review(profiles, bookmap.chapter_profiles(profiles, _sections(spark, sf_dir)))
@@ -364,7 +408,12 @@ def book_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bookmap.render_map(s.chapters, s.titles)
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_packets_sql(6500, 8500)},
+bt AS (SELECT doc_id, arg_min(title, pos) AS book_title FROM hd WHERE level = 1 GROUP BY doc_id),
+s1 AS (SELECT doc_id, count(*) AS section_count, CAST(sum(token_estimate) AS BIGINT) AS source_token_estimate FROM se GROUP BY doc_id),
+p1 AS (SELECT doc_id, count(*) AS packet_count, CAST(sum({_TOK.format('raw_text')}) AS BIGINT) AS packet_token_estimate, count(DISTINCT lower(trim(chapter_title))) AS book_map_chapter_count FROM pk GROUP BY doc_id)
+SELECT * FROM bt JOIN s1 USING (doc_id) JOIN p1 USING (doc_id)""")
 def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize.plan(markdown(spark, sf_dir))
 
@@ -423,13 +472,19 @@ def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {_BLOCKS},
-c AS (SELECT doc_id, block_no, CASE WHEN level > 0 AND text = 'Sources' THEN 'contents' ELSE text END AS text, level > 0 AS heading FROM bk),
-n AS (SELECT *, lead(heading) OVER (PARTITION BY doc_id ORDER BY block_no) AS nxt FROM c)
-SELECT doc_id, count(*) AS blocks, CAST(sum(CAST(heading AS INTEGER)) AS BIGINT) AS headings FROM n GROUP BY doc_id""")
+c AS (SELECT doc_id, block_no, CASE WHEN level > 0 AND text = 'Sources' THEN 'Contents' ELSE text END AS text, level > 0 AS heading FROM bk WHERE level > 0 OR block_no % 7 = 0),
+r AS (SELECT *, sum(CASE WHEN heading THEN 0 ELSE 1 END) OVER w AS run, lead(heading) OVER w AS nxt FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY block_no)),
+m AS (SELECT *, min(CASE WHEN heading AND lower(text) = 'contents' THEN block_no END) OVER (PARTITION BY doc_id, run) AS c FROM r),
+e AS (SELECT *, coalesce(heading AND block_no > c AND (nxt IS NULL OR nxt), false) AS entry FROM m),
+u AS (
+  SELECT doc_id, block_no, 0 AS sub, CASE WHEN heading THEN 'heading' ELSE 'paragraph' END AS kind, text FROM e WHERE NOT entry
+  UNION ALL SELECT doc_id, c, 1, 'list', string_agg('- ' || text, chr(10) ORDER BY block_no) FROM e WHERE entry GROUP BY doc_id, c)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block_no, sub) AS block_no, kind, md5(text) AS body FROM u""")
 def contents_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In the books no heading follows another, so a contents heading has no run and nothing changes."""
-    rows = _blocks(spark, sf_dir).withColumn("text", F.when((F.col("kind") == "heading") & (F.col("text") == "Sources"), "contents").otherwise(F.col("text")))
-    return blocks.contents_to_list(rows).groupBy("doc_id").agg(F.count(F.lit(1)).alias("blocks"), F.count_if(F.col("kind") == "heading").alias("headings"))
+    """Headings with one paragraph in seven between them, so that those after a contents heading run on."""
+    rows = _blocks(spark, sf_dir).where((F.col("kind") == "heading") | (F.col("block_no") % 7 == 0))
+    rows = rows.withColumn("text", F.when((F.col("kind") == "heading") & (F.col("text") == "Sources"), "Contents").otherwise(F.col("text")))
+    return blocks.contents_to_list(rows).select("doc_id", "block_no", "kind", F.md5(F.col("text").cast("binary")).alias("body"))
 
 
 @query()
@@ -476,16 +531,25 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.progress(*_work(spark, sf_dir), "lang", "doc_id")
 
 
-@query("""
-SELECT doc_id AS job, CASE WHEN doc_id % 3 = 0 THEN 'chunks' WHEN doc_id % 5 = 0 THEN 'chapters' WHEN doc_id % 7 = 0 THEN 'chapters' WHEN doc_id % 11 = 0 THEN 'final' WHEN doc_id % 13 = 0 THEN 'verify'
-       WHEN doc_id % 17 = 0 THEN 'assemble' ELSE 'done' END AS stage FROM documents""")
+_NEXT = (
+    ("chunks", "complete_prompt", "p0001"), ("chapters", "run_command", "build-chapters"), ("chapters", "complete_prompt", "c001"), ("final", "run_command", "build-final"),
+    ("final", "complete_prompt", "final"), ("verify", "run_command", "build-verify"), ("verify", "complete_prompt", "verify"), ("assemble", "run_command", "assemble"), ("done", "none", ""),
+)
+
+
+def _next_sql(c: int, name: str) -> str:
+    return f"CASE doc_id % 9 {' '.join(f"WHEN {k} THEN '{x[c]}'" for k, x in enumerate(_NEXT))} END AS {name}"
+
+
+@query(f"SELECT doc_id AS job, {_next_sql(0, 'stage')}, {_next_sql(1, 'action_type')}, {_next_sql(2, 'target')} FROM documents")
 def next_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("doc_id")
+    """Jobs that have come through the first steps: doc_id modulo 9 of them; what lies beyond the next step is as open."""
+    done = F.col("doc_id") % 9
     status = _table(spark, sf_dir, "documents").select(
-        i.alias("job"), F.when(i % 3 == 0, "p0001").alias("next_chunk"), (i % 5 != 0).alias("chapters_prepared"), F.when(i % 7 == 0, "c001").alias("next_chapter"), (i % 11 != 0).alias("final_prompt"),
-        (i % 11 != 0).alias("final_output"), (i % 13 != 0).alias("verify_prompt"), (i % 13 != 0).alias("verify_output"), (i % 17 != 0).alias("assembled"),
+        F.col("doc_id").alias("job"), F.when(done < 1, "p0001").alias("next_chunk"), (done >= 2).alias("chapters_prepared"), F.when(done < 3, "c001").alias("next_chapter"), (done >= 4).alias("final_prompt"),
+        (done >= 5).alias("final_output"), (done >= 6).alias("verify_prompt"), (done >= 7).alias("verify_output"), (done >= 8).alias("assembled"),
     )
-    return work.next_action(status).select("job", "stage")
+    return work.next_action(status)
 
 
 # ---------------------------------------------------------------- payloads and audit
@@ -505,30 +569,85 @@ def _chunk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("conv_id").cast("string").alias("doc_id"), item.alias("item_id"), F.when(F.col("turn") % 3 == 0, F.to_json(legacy)).otherwise(whole).alias("payload"))
 
 
-@query()
+def _chunk_map(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Packet profiles for every second turn (one in four without a kind), chapter profiles for two documents in three."""
+    rows = _table(spark, sf_dir, "conversations")
+    doc = F.col("conv_id").cast("string").alias("doc_id")
+    kind = F.when(F.col("turn") % 4 == 0, "reference").otherwise("")
+    profiles = rows.where("turn % 2 = 0").select(doc, F.concat_ws("-", "conv_id", "turn").alias("packet_id"), kind.alias("packet_kind"), F.concat(F.lit("packet of "), "role").alias("role_in_book"), (F.col("turn") % 5 + 1).cast("int").alias("priority_weight"))
+    chapters = rows.where("conv_id % 3 <> 0").select(doc, F.col("role").alias("chapter_title"), F.lit("framing").alias("chapter_kind"), F.lit(2).alias("priority_weight")).distinct()
+    return profiles, chapters
+
+
+_TURNS = """
+cv AS (
+  SELECT CAST(conv_id AS VARCHAR) AS doc_id, conv_id || '-' || turn AS item_id, conv_id, turn, role, text, turn % 3 = 0 AS legacy, turn % 7 = 6 AS unsure, turn % 9 AS weight,
+         list_filter([trim(substr(text, 1, 40)), trim(substr(text, 41, 40))], lambda p: p <> '') AS points, [substr(text, 1, 40), substr(text, 41, 40)] AS halves FROM conversations)"""
+_UNSURE = "['$.confidence', 'expected one of [''high'', ''medium'', ''low''], got ''unsure''']"
+_ADDED = ("packet_kind", "role_in_book", "primary_claims", "methods_or_principles", "story_events", "priority_weight")
+
+
+def _said(fields, message: str) -> str:
+    return ", ".join(f"['$.{c}', '{message}']" for c in fields)
+
+
+@query(f"""
+WITH {_TURNS},
+er AS (
+  SELECT doc_id, item_id, 'chunk' AS schema_name, list_concat(list_concat(
+    CASE WHEN legacy THEN [{_said(_ADDED, "missing required property")}] ELSE [] END, CASE WHEN unsure THEN [{_UNSURE}] ELSE [] END),
+    CASE WHEN NOT legacy AND weight < 1 THEN [['$.priority_weight', 'expected >= 1, got ' || weight]] WHEN NOT legacy AND weight > 5 THEN [['$.priority_weight', 'expected <= 5, got ' || weight]] ELSE [] END) AS found FROM cv
+  UNION ALL
+  SELECT doc_id, item_id, 'chunk_legacy', list_concat(
+    CASE WHEN legacy THEN [] ELSE [{_said(sorted(_ADDED), "unexpected property")}] END, CASE WHEN unsure THEN [{_UNSURE}] ELSE [] END) FROM cv),
+un AS (SELECT doc_id, item_id, schema_name, unnest(range(len(found))) AS ord, unnest(found) AS f FROM er)
+SELECT doc_id, item_id, schema_name, CAST(ord AS INTEGER) AS ord, f[1] AS path, f[2] AS message FROM un""")
 def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.schema_errors(_chunk_payloads(spark, sf_dir), "chunk")
 
 
-@query()
+@query(f"""
+WITH {_TURNS}
+SELECT doc_id, item_id, CASE WHEN unsure THEN NULL WHEN legacy THEN 'chunk_legacy' WHEN weight BETWEEN 1 AND 5 THEN 'chunk' END AS matched FROM cv""")
 def matched_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payloads.matched_schema(_chunk_payloads(spark, sf_dir), "chunk").select("item_id", "matched")
+    return payloads.matched_schema(_chunk_payloads(spark, sf_dir), "chunk").select("doc_id", "item_id", "matched")
 
 
-def _empty_map(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    profiles = spark.createDataFrame([], "doc_id string, packet_id string, packet_kind string, role_in_book string, priority_weight int")
-    chapters = spark.createDataFrame([], "doc_id string, chapter_title string, chapter_kind string, priority_weight int")
-    return profiles, chapters
+_ENRICHED = f"""
+{_TURNS},
+mp AS (
+  SELECT *, turn % 2 = 0 AS packed, conv_id % 3 <> 0 AS told,
+         CASE WHEN NOT legacy THEN 'case_study' WHEN turn % 4 = 0 THEN 'reference' WHEN conv_id % 3 <> 0 THEN 'framing' ELSE 'mixed' END AS packet_kind FROM cv),
+en AS (
+  SELECT *, CASE WHEN NOT legacy THEN role WHEN packed THEN 'packet of ' || role WHEN packet_kind = 'framing' THEN 'Frames or transitions the book''s agenda around ' || role || '.'
+                 ELSE 'Supports the book through mixed exposition and examples in ' || role || '.' END AS role_in_book,
+         CASE WHEN legacy THEN halves ELSE [] END AS story_events,
+         CAST(CASE WHEN NOT legacy THEN weight WHEN packed THEN turn % 5 + 1 WHEN told THEN 2 ELSE {_PRIORITY_SQL.format('packet_kind')} END AS INTEGER) AS priority_weight FROM mp)"""
 
 
-@query()
+@query(f"""
+WITH {_ENRICHED}
+SELECT doc_id, item_id, packet_kind, role_in_book, array_to_string(halves, '|') AS primary_claims, array_to_string(story_events, '|') AS story_events, priority_weight, md5(text) AS summary FROM en""")
 def enriched_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payloads.enrich_chunks(_chunk_payloads(spark, sf_dir), *_empty_map(spark))
+    rows = payloads.enrich_chunks(_chunk_payloads(spark, sf_dir), *_chunk_map(spark, sf_dir))
+    listed = [F.array_join(c, "|").alias(c) for c in ("primary_claims", "story_events")]
+    return rows.select("doc_id", "item_id", "packet_kind", "role_in_book", *listed, "priority_weight", F.md5(F.col("summary").cast("binary")).alias("summary"))
 
 
-@query()
+@query(rf"""
+WITH {_ENRICHED},
+f AS (
+  SELECT *, len(regexp_extract_all(text, '[^\s]+')) AS n, packet_kind IN ('reference', 'endmatter') AS minor, CASE WHEN priority_weight = 0 THEN 3 ELSE priority_weight END AS w,
+         len(list_filter(story_events, lambda x: trim(x) <> '')) AS events FROM en),
+r AS (
+  SELECT doc_id, item_id, unnest([
+    CASE WHEN minor AND n > 180 THEN 'reference/endmatter chunk summary looks too long for its priority' END,
+    CASE WHEN w >= 4 AND n < 90 THEN 'high-priority chunk summary looks too short for its weighting' END,
+    CASE WHEN w >= 4 AND len(points) < 3 THEN 'high-priority chunk should usually preserve at least three main points' END,
+    CASE WHEN packet_kind = 'case_study' AND events = 0 THEN 'case-study chunk is missing story_events' END]) AS warning, unnest([0, 1, 2, 5]) AS ord FROM f)
+SELECT doc_id, 'chunk' AS scope, item_id AS item, CAST(ord AS INTEGER) AS ord, warning FROM r WHERE warning IS NOT NULL""")
 def chunk_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.chunk_findings(payloads.enrich_chunks(_chunk_payloads(spark, sf_dir), *_empty_map(spark)))
+    return audit.chunk_findings(payloads.enrich_chunks(_chunk_payloads(spark, sf_dir), *_chunk_map(spark, sf_dir)))
 
 
 @query()

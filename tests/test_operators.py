@@ -50,10 +50,12 @@ def test_contents_make_anchors(spark):
     assert rows == {"Book": "Book", "Contents": "Book", "Alpha": "Alpha", "Gamma": "Alpha", "Beta": "Beta"}
 
 
-def test_greedy_groups():
-    assert packets.greedy_groups([3, 3, 3, 9, 1, 1], 6, 8) == [0, 0, 1, 2, 3, 3]
-    assert packets.greedy_groups([5, 1, 1], 6) == [0, 0, 1]
-    assert packets.greedy_groups([], 6) == []
+def test_greedy_parts(spark):
+    sizes = {"a": [3, 3, 3, 9, 1, 1], "b": [5, 1, 1], "c": [1] * 25_000}
+    rows = spark.createDataFrame([(d, k % 3, k, n) for d, s in sizes.items() for k, n in enumerate(s)], "d string, other int, i int, n long").repartition(5)
+    got = {d: [r.part for r in packets.greedy_parts(rows.where(F.col("d") == d), ["d"], "i", "n", 6, 8).orderBy("i").collect()] for d in sizes}
+    assert got == {"a": [0, 0, 1, 2, 3, 3], "b": [0, 0, 1], "c": [k // 6 for k in range(25_000)]}
+    assert packets.greedy_parts(rows.where("false"), ["d"], "i", "n", 6).count() == 0
 
 
 def test_packets_split_and_gather(spark):
@@ -118,6 +120,14 @@ def test_enrichment_keeps_present_fields(spark):
     assert "high-priority chunk summary looks too short for its weighting" in found and "chunk output is missing covered_sections content" in found
 
 
+def test_payloads_are_matched_by_document(spark):
+    good = payloads.TemplateClient("chunk")._payload
+    rows = spark.createDataFrame([("d1", "p0001", good), ("d2", "p0001", "{}"), ("d3", "p0001", None), ("d4", "p0001", "{")], "doc_id string, item_id string, payload string")
+    assert {r.doc_id: r.matched for r in payloads.matched_schema(rows, "chunk").collect()} == {"d1": "chunk", "d2": None, "d3": None, "d4": None}
+    assert {r.doc_id for r in payloads.schema_errors(rows, "chunk").where("schema_name = 'chunk'").collect()} == {"d2", "d3", "d4"}
+    assert payloads.validate(rows.where("doc_id = 'd1'"), "chunk").first().matched == "chunk"
+
+
 def test_ungrounded(spark):
     items = spark.createDataFrame([("d", "alpha things"), ("d", "the of"), ("d", "omega")], "doc_id string, item string")
     pool = spark.createDataFrame([("d", "Some ALPHA here")], "doc_id string, text string")

@@ -45,6 +45,21 @@ def test_titles(spark):
     assert values(spark, ["", "abc", "a" * 9], t.token_estimate) == [0, 1, 2]
 
 
+def test_case_folding(spark):
+    texts = ["Straße", "ŉ ﬁx", "ΣΑΣ", "Iı", "İ", "ABC", "Été", "ſ"]
+    assert values(spark, texts, t.casefold) == [x.casefold() for x in texts]
+    assert values(spark, ["Chapter 2: Straße"], t.title_key) == ["strasse"]
+    row = spark.createDataFrame([(["Straße", "STRASSE ", "x"],)], "v array<string>").select(t.distinct_in_order(F.col("v")).alias("d")).first()
+    assert row.d == ["Straße", "x"]
+
+
+def test_repair_comes_before_composition(spark):
+    from pageloom.plans import normalize
+
+    lines = normalize.filtered_lines(spark.createDataFrame([("d", "caﬁ\u0301 \ufefftail")], "doc_id string, text string")).collect()
+    assert [r.line for r in lines] == ["cafí tail"]
+
+
 def test_kinds(spark):
     rows = spark.createDataFrame(
         [("Resources", "x"), ("Notes", "the method and a principle"), ("Life", "1901 1902 1903 and 1999"), ("Bonus", ""), ("Start", "preface words"), ("Other", "nothing")], "a string, b string"
