@@ -37,10 +37,13 @@ def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pageloom.llm.suffix_dedup import remove_repeats
 
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return remove_repeats(documents(spark, sf_dir), 400).select(
-        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
-    )
+    def total(runs: str):
+        return F.aggregate(runs, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+    return remove_repeats(documents(spark, sf_dir), 400, passage=50).select(
+        "doc_id", "n_bytes", total("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        total("passages").alias("n_passage_words"),
+    )
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

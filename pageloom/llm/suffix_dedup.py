@@ -2,7 +2,7 @@
 
 A string of ``span`` bytes that starts in two places repeats.  Suffix arrays find them, but most bytes of a
 corpus repeat nowhere; an exact sieve keeps those out.  Every window of ``span`` bytes names an anchor: the
-leftmost of its GRAM-byte strings with the least hash.  Equal windows have equal anchors, so only windows
+leftmost of its GRAM-byte strings (a quarter of a shorter window) with the least hash.  Equal windows have equal anchors, so only windows
 whose anchor hash occurs again somewhere can repeat.  The windows of one anchor are consecutive; their bytes
 make a segment.  Segments that are equal as a whole repeat as a whole and are settled by counting.  Anchors
 with different segments go on: one copy of each distinct segment is placed in a shard with all others of
@@ -24,49 +24,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.common import cut_lineage, releasing
+from pageloom.llm.passages import TEXT_KEY, ranges_of, shared_passages, sieve, sliding_least, slot, text_key
 from pageloom.llm.suffixes import common_prefixes, suffix_array
 from pageloom.llm.textops import pieces, prefix_hashes, repeat_ranges, span_hashes
 
 SPAN = 400
-GRAM = 32
+GRAM = 96
 #: Window starts handled at once; only one longer text is cut there.
 STEP = 3 << 20
 #: Bytes of segments that a shard's suffix array has, about, and distinct segments of an anchor per shard.
 SHARD_BYTES, SHARD_SEGMENTS = 1_000_000, 1200
 #: Windows that a merge looks at, about, and the parts that a shard's windows are cut into at most.
 MERGE_WINDOWS, MERGE_PARTS = 500_000, 200
-#: Slots of the sieve that keeps texts without repeats out of shuffles: a bound on what is broadcast.
-SIEVE_SLOTS = 1 << 20
 
 
-def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
-    """The least of each ``width`` consecutive keys, by running minima from both block ends."""
-    n = len(keys) - width + 1
-    blocks = -(-len(keys) // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(keys)] = keys
-    grid = padded.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+def gram_of(span: int) -> int:
+    """Bytes of an anchor: long enough that lines which many texts share name none, short against the window."""
+    return min(GRAM, max(span // 4, 1))
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
     """(document, anchor hash, segment hash, first start, last start) with starts relative to the document."""
     found: list[tuple[np.ndarray, ...]] = []
+    gram = gram_of(span)
     for at in range(0, max(1, len(data) - span + 1), STEP):
         part = data[at : at + STEP + span - 1]
         if len(part) < span:
             break
         prefix = prefix_hashes(part)
-        grams = np.arange(len(part) - GRAM + 1)
-        hashes = span_hashes(prefix, grams, grams + GRAM)
+        grams = np.arange(len(part) - gram + 1)
+        hashes = span_hashes(prefix, grams, grams + gram)
         keys = (hashes & ~np.uint64((1 << 24) - 1)) | grams.astype(np.uint64)
-        anchor = (sliding_least(keys, span - GRAM + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
+        anchor = (sliding_least(keys, span - gram + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
         starts = np.arange(len(anchor)) + at
         doc = np.searchsorted(offsets, starts, "right") - 1
         valid = starts + span <= offsets[doc + 1]
@@ -97,9 +90,9 @@ def _anchored(docs: DataFrame, span: int) -> DataFrame:
                     ["doc_id", "text_key", "anchor", "segment", "first", "last"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where(F.octet_length("text") >= span)
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").where(F.octet_length("text") >= span)
     return (
-        rows.mapInArrow(releasing(run), "doc_id long, text_key long, anchor long, segment long, first long, last long")
+        rows.mapInArrow(releasing(run), f"doc_id long, {TEXT_KEY}, anchor long, segment long, first long, last long")
         .groupBy("anchor", "segment", "text_key", "first", "last")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
     )
@@ -120,15 +113,6 @@ def repeated_starts(segments_: list[bytes], windows: np.ndarray, span: int) -> t
     return owner, at - base[owner], kind[at]
 
 
-def _ranges(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Consecutive starts of an owner as (owner, first, last)."""
-    if not len(owner):
-        return owner, start, start
-    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)]))
-    last = np.concatenate([new[1:] - 1, [len(owner) - 1]])
-    return owner[new], start[new], start[last]
-
-
 _MARKS = "anchor long, segment long, lo long, hi long, shard string, part long, windows binary"
 _NAMES = ["anchor", "segment", "lo", "hi", "shard", "part", "windows"]
 #: A published window: its hash, and the segment and start it stands for.
@@ -165,7 +149,7 @@ def _sharded(parts: DataFrame, span: int) -> DataFrame:
         owner, start, kind = repeated_starts(data, windows, span)
         often = np.bincount(kind, minlength=int(kind.max()) + 1)
         again = often[kind] > 1
-        o, lo, hi = _ranges(owner[again], start[again])
+        o, lo, hi = ranges_of(owner[again], start[again])
         out = [_mark_table(anchor[o], segment[o], lo, hi)]
         # A split anchor has a shard to itself, or rather several.
         if split[0]:
@@ -194,23 +178,29 @@ def _merged(published: DataFrame) -> DataFrame:
                 elsewhere |= other["hash"][at] == own["hash"]
             hit.append(own[elsewhere])
         found = np.sort(np.concatenate(hit), order=("segment", "start"))
-        segment, lo, hi = _ranges(found["segment"], found["start"])
+        segment, lo, hi = ranges_of(found["segment"], found["start"])
         return _mark_table(np.full(len(segment), table.column("anchor")[0].as_py()), segment, lo, hi)
 
     return published.groupBy("anchor", "part").applyInArrow(run, _MARKS)
 
 
-def _slot(key: str):
-    return F.pmod(F.col(key), F.lit(SIEVE_SLOTS)).cast("int")
-
+def _united(ranges: list[dict] | None) -> list[list[int]]:
+    """Sorted ranges that overlap or touch, as one."""
+    runs: list[list[int]] = []
+    for r in ranges or ():
+        if runs and r["start"] <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], r["end"])
+        else:
+            runs.append([r["start"], r["end"]])
+    return runs
 
-def _slots(rows: DataFrame, key: str) -> DataFrame:
-    """The sieve: slots that any of the keys falls into, SIEVE_SLOTS rows at most, so safe to broadcast."""
-    return F.broadcast(rows.select(_slot(key).alias("_slot")).distinct())
 
+def remove_repeats(docs: DataFrame, span: int = SPAN, passage: int | None = None) -> DataFrame:
+    """doc_id, n_bytes, spans (maximal removed runs: start, end) and kept (the other bytes) of every row.
 
-def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """doc_id, n_bytes, spans (maximal removed runs: start, end) and kept (the other bytes) of every row."""
+    With ``passage`` also ``passages``: the runs of words (start, end) in which every ``passage`` words stand in another
+    row too.  They are reported only; what is removed follows ``span`` alone.
+    """
     found = cut_lineage(_anchored(docs, span))
     distinct = found.groupBy("anchor", "segment").agg(
         F.sum("n").alias("n"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("at")
@@ -226,13 +216,13 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     parts_of = F.ceil(F.col("kinds") / SHARD_SEGMENTS)
     wanted = several.select(
         "anchor", "segment", F.col("at.doc_id").alias("doc_id"), F.col("at.text_key").alias("text_key"), F.col("at.first").alias("first"), F.col("at.last").alias("last"),
-        F.when(parts_of > 1, F.least(F.lit(MERGE_PARTS), F.ceil(F.col("kinds") * (span - GRAM) / 2 / MERGE_WINDOWS))).otherwise(F.lit(0)).cast("long").alias("parts"),
+        F.when(parts_of > 1, F.least(F.lit(MERGE_PARTS), F.ceil(F.col("kinds") * (span - gram_of(span)) / 2 / MERGE_WINDOWS))).otherwise(F.lit(0)).cast("long").alias("parts"),
         F.when(parts_of > 1, F.concat_ws(":", F.lit("p"), "anchor", F.pmod("segment", parts_of.cast("long"))))
         .otherwise(F.concat(F.lit("s"), F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("string"))).alias("shard"),
     )
     per_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "segment", "first", "last", "parts", "shard")).alias("cuts"))
-    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").where(F.octet_length("text") >= span)
-    texts = texts.join(_slots(wanted, "text_key"), _slot("text_key") == F.col("_slot"), "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").where(F.octet_length("text") >= span)
+    texts = texts.join(sieve(wanted, "text_key"), slot("text_key") == F.col("_slot"), "left_semi")
     one = (
         texts.join(per_text, (texts["text_key"] == per_text["text_key"]) & texts["doc_id"].eqNullSafe(per_text["doc_id"]))
         .select("text", F.explode("cuts").alias("c"))
@@ -244,40 +234,44 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     marks = whole.union(sharded.where("windows is null").select("anchor", "segment", "lo", "hi")).union(
         _merged(sharded.where("windows is not null")).select("anchor", "segment", "lo", "hi")
     )
+    pair = lambda a, b: F.struct(a.alias("start"), b.alias("end"))
     removed = (
         found.join(marks, ["anchor", "segment"])
         .groupBy("text_key")
-        .agg(F.array_sort(F.collect_set(F.struct((F.col("first") + F.col("lo")).alias("start"), (F.col("first") + F.col("hi") + span).alias("end")))).alias("ranges"))
+        .agg(F.array_sort(F.collect_set(pair(F.col("first") + F.col("lo"), F.col("first") + F.col("hi") + span))).alias("ranges"))
         .select(F.col("text_key").alias("_key"), "ranges")
     )
+    if passage is not None:
+        told = shared_passages(docs, passage).withColumnRenamed("text_key", "_key")
+        removed = removed.join(told, "_key", "full")
+    else:
+        removed = removed.withColumn("passages", F.lit(None).cast(removed.schema["ranges"].dataType))
     removed = cut_lineage(removed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item = pa.struct([("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            ranges = batch.column(2).to_pylist()
-            sizes, spans, kept = [], [], []
+            ranges, passages = (batch.column(c).to_pylist() for c in (2, 3))
+            sizes, spans, kept, told = [], [], [], []
             for piece in pieces(batch.column(1)):
                 for k in range(piece.rows):
                     text = piece.data[piece.offsets[k] : piece.offsets[k + 1]]
-                    runs: list[list[int]] = []
-                    for r in ranges[piece.first_row + k] or ():
-                        if runs and r["start"] <= runs[-1][1]:
-                            runs[-1][1] = max(runs[-1][1], r["end"])
-                        else:
-                            runs.append([r["start"], r["end"]])
+                    runs = _united(ranges[piece.first_row + k])
+                    told.append([{"start": a, "end": b} for a, b in _united(passages[piece.first_row + k])])
                     edges = [0, *(x for r in runs for x in r), len(text)]
                     kept.append(b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     sizes.append(len(text))
                     spans.append([{"start": a, "end": b} for a, b in runs])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(item)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(item)), pa.array(kept, pa.binary()), pa.array(told, pa.list_(item))], ["doc_id", "n_bytes", "spans", "kept", "passages"])
 
-    every = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("_text_key"))
-    slots = _slots(removed, "_key")
-    untouched = every.join(slots, _slot("_text_key") == F.col("_slot"), "left_anti").select("doc_id", "text", F.lit(None).cast(removed.schema["ranges"].dataType).alias("ranges"))
+    every = docs.select(F.col("doc_id").cast("long"), "text", text_key().alias("_text_key"))
+    slots = sieve(removed, "_key")
+    untouched = every.join(slots, slot("_text_key") == F.col("_slot"), "left_anti").select("doc_id", "text", *[F.lit(None).cast(removed.schema[c].dataType).alias(c) for c in ("ranges", "passages")])
     touched = (
-        every.join(slots, _slot("_text_key") == F.col("_slot"), "left_semi")
+        every.join(slots, slot("_text_key") == F.col("_slot"), "left_semi")
         .join(removed, F.col("_text_key") == F.col("_key"), "left")
-        .select("doc_id", "text", "ranges")
+        .select("doc_id", "text", "ranges", "passages")
     )
-    return untouched.union(touched).mapInArrow(releasing(cut), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    runs = "array<struct<start:long,end:long>>"
+    out = untouched.union(touched).mapInArrow(releasing(cut), f"doc_id long, n_bytes long, spans {runs}, kept binary, passages {runs}")
+    return out if passage is not None else out.drop("passages")

@@ -39,7 +39,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:
         size = 1 << (n - 1).bit_length()
         for k, base in enumerate((_BASE, _INVERSE)):
@@ -52,14 +53,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """P with P[i] the sum of code(byte k) * base**k for k < i, modulo 2**64."""
     out = np.zeros(len(data) + 1, np.uint64)
-    power, _ = _power_tables(len(data) + 1)
+    power, _ = power_tables(len(data) + 1)
     np.cumsum(_CODE[data] * power[: len(data)], out=out[1:])
     return out
 
 
 def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans; equal bytes have equal hashes wherever they stand."""
-    _, inverse = _power_tables(len(prefix))
+    _, inverse = power_tables(len(prefix))
     return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.llm import fingerprints, jaccard, packing, search, secrets, sharding, suffix_dedup
+from pageloom.llm import fingerprints, jaccard, packing, passages, search, secrets, sharding, suffix_dedup
 from pageloom.llm.components import components
 from pageloom.llm.mixing import mix_sources
 from pageloom.llm.quality import QualityModel, keep_good, score, train
@@ -98,6 +98,55 @@ def test_repeats(docs, empty, monkeypatch):
     assert suffix_dedup.remove_repeats(empty, 60).count() == 0
 
 
+def test_passages(spark, docs, empty, monkeypatch):
+    rng = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(400)]
+    shared = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (49, 50, 61, 300)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 200))) for _ in range(30)]
+    for k in range(24):
+        texts[k] = f"{texts[k]}  {shared[k % 4]}\n{texts[k]}" if k % 3 else f"{shared[k % 4]} {shared[(k + 1) % 4]}"
+    texts += [texts[27], texts[3] + " tail", None, "", shared[3], shared[3]]
+    split = [(x or "").split() for x in texts]
+    rows = defaultdict(set)
+    for k, w in enumerate(split):
+        for i in range(len(w) - 49):
+            rows[tuple(w[i : i + 50])].add(k)
+    expected = []
+    for w in split:
+        marked = bytearray(len(w))
+        for i in range(len(w) - 49):
+            if len(rows[tuple(w[i : i + 50])]) > 1:
+                marked[i : i + 50] = b"\1" * 50
+        expected.append("".join(map(str, marked)))
+    for hot in (5000, 1):
+        monkeypatch.setattr(passages, "HOT_TEXTS", hot)
+        got = suffix_dedup.remove_repeats(frame(spark, texts), 400, passage=50).collect()
+        assert len(got) == len(texts)
+        for r in got:
+            shown = bytearray(len(split[r.doc_id]))
+            for p in r.passages:
+                shown[p.start : p.end] = b"\1" * (p.end - p.start)
+            assert "".join(map(str, shown)) == expected[r.doc_id], r.doc_id
+    assert suffix_dedup.remove_repeats(empty, 400, passage=50).count() == 0
+    assert suffix_dedup.remove_repeats(docs, 400, passage=50).where("doc_id is not null").count() == docs.count()
+
+
+def test_long_texts_are_cut_into_steps(monkeypatch):
+    data = np.frombuffer(random.Random(2).randbytes(9000), np.uint8) % 26 + 97
+    offsets = np.array([0, 4000, 4000, 9000])
+    whole = suffix_dedup.segments(data, offsets, 100)
+    monkeypatch.setattr(suffix_dedup, "STEP", 700)
+    parts = suffix_dedup.segments(data, offsets, 100)
+    covered = [{(d, a, s) for d, a, f, l in zip(*(x[k].tolist() for k in (0, 1, 3, 4)), strict=True) for s in range(f, l + 1)} for x in (whole, parts)]
+    assert covered[0] == covered[1] and len(covered[0]) == 4000 - 99 + 5000 - 99
+    (piece,) = pieces(pa.array([" ".join(f"w{k % 97}" for k in range(900)), "a b", None, " ".join(f"v{k % 89}" for k in range(300))]))
+    whole = passages.windows(piece, 50)
+    monkeypatch.setattr(passages, "STEP", 130)
+    parts = passages.windows(piece, 50)
+    covered = [{(d, a, s) for d, a, f, l in zip(*(x[k].tolist() for k in (0, 1, 2, 3)), strict=True) for s in range(f, l + 1)} for x in (whole, parts)]
+    assert covered[0] == covered[1] and whole[4].tolist() == parts[4].tolist() and len(parts[4]) == 900 - 49 + 300 - 49
+
+
 def test_repeated_starts_where_segments_share_more_than_the_sorted_depth():
     rng = random.Random(4)
     span, shared = 6, [bytes(rng.choice(b"abcdefgh") for _ in range(40)) for _ in range(120)]
