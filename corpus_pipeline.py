@@ -92,7 +92,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: The classifier and the tokenizer have no SQL form; tests cover the stages' operators, not the stages or run().
+#: The classifier and the tokenizer have no SQL form; every stage and run() are tested against plain Python.
 ORACLE_SQL = None
 
 
