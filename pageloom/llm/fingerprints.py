@@ -14,8 +14,8 @@ probing would have stopped, so the result has no bound on probes.
 A fingerprint keeps the low BITS bits of each bin's mixed value, two hex digits a bin.  Of two unequal
 bins 2**-BITS agree by chance; likeness subtracts that.
 
-The neighbour of a row in doc_id order is found inside range partitions; only the first row of each
-partition travels, to be the neighbour of the partition before.
+The neighbour of a row in doc_id order is found inside parts of consecutive doc_ids; only the first row of each
+part travels, to be the neighbour of the part before.
 
 Defined cases: null text is an empty text; rows with equal doc_id follow each other by text; the row after
 the last is the first (a single row is its own next); an empty table gives an empty result; other columns
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import buckets_for, text_or_empty
+from pageloom.llm.common import text_or_empty
 
 SHINGLE = 5
 BIN_BITS = 7
@@ -35,6 +35,8 @@ BINS = 1 << BIN_BITS
 BITS = 8
 #: Probes before the rank of all full bins is computed instead.
 PROBES = 10
+#: Rows of consecutive doc_id that are one part, about, and parts at most: what the driver holds of the doc_ids.
+PART_ROWS, MOST_PARTS = 500, 1 << 16
 
 
 def _odd_multiplier(n: int) -> int:
@@ -111,29 +113,50 @@ def fingerprint(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     return docs.select("doc_id", packed(signature(text_or_empty(), width)).alias("fingerprint"))
 
 
+def _bounds(docs: DataFrame) -> tuple[list[int], bool]:
+    """Ascending doc_ids at which parts begin, the least first, MOST_PARTS at most, and whether there are rows without one.
+
+    A doc_id is a bound by its hash, so every evaluation finds the same parts."""
+    n, known, least = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.min("doc_id")).first()
+    if not known:
+        return [], n > 0
+    every = max(PART_ROWS, n // MOST_PARTS)
+    chosen = docs.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(every)) == 0)).select("doc_id").distinct()
+    return sorted({int(least), *(int(r[0]) for r in chosen.collect())}), known < n
+
+
+def _array(values: list[int]) -> Column:
+    """The values as one folded constant, however many they are."""
+    return F.split(F.lit(",".join(map(str, values)) or "0"), ",").cast("array<bigint>")
+
+
+def _part_of(x: Column, bounds: list[int]) -> Column:
+    """How many bounds are at most ``x`` (null: 0), by a coarse and a fine look."""
+    step = max(1, int(len(bounds) ** 0.5))
+    upto = lambda values: F.size(F.filter(values, lambda b: b <= x))
+    coarse = upto(_array(bounds[::step]))
+    fine = F.transform(F.array(coarse), lambda k: (k - 1) * step + upto(F.slice(_array(bounds), F.greatest((k - 1) * step + 1, F.lit(1)), F.lit(step))))[0]
+    return F.when(x.isNull() | (not bounds), F.lit(0)).otherwise(fine).cast("int")
+
+
 def fingerprint_with_edits(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likeness to each other and to the next text.
 
     The edited text ends in the start of the next document instead of its own last quarter.
     """
-    n = docs.count()
-    parts = max(buckets_for(n, 2000), docs.sparkSession.sparkContext.defaultParallelism)
-    placed = (
-        docs.select("doc_id", text_or_empty().alias("text"))
-        .repartitionByRange(parts, "doc_id")
-        .withColumn("_part", F.spark_partition_id())
-    )
+    bounds, nulls = _bounds(docs)
+    placed = docs.select("doc_id", text_or_empty().alias("text")).withColumn("_part", _part_of(F.col("doc_id"), bounds))
+    # A part's first row has its bound for doc_id: those few rows travel on their own, each to the part before (the first
+    # one's to the last).
+    last = len(bounds)
+    first = 0 if nulls or not last else 1
+    is_first = F.when(F.col("_part") == 0, F.col("doc_id").isNull()).otherwise(F.element_at(_array(bounds), F.greatest(F.col("_part"), F.lit(1))) == F.col("doc_id"))
+    firsts = placed.where(is_first).groupBy("_part").agg(F.min("text").alias("_head"))
+    to = F.when(F.col("_part") == first, F.lit(last)).otherwise(F.col("_part") - 1)
+    heads = firsts.select(to.alias("_part"), "_head", signature(F.col("_head"), width).alias("_head_sig"))
+    # Several parts a partition, so that the hash of their numbers deals them evenly.
+    placed = placed.repartition(max((last + 1) // 4, 2 * docs.sparkSession.sparkContext.defaultParallelism), "_part")
     order = Window.partitionBy("_part").orderBy("doc_id", "text")
-    placed = placed.withColumn("_no", F.row_number().over(order))
-
-    # One row a partition: its first text, handed to the partition before (the first one's to the last).
-    firsts = placed.where("_no = 1").select("_part", F.col("text").alias("_head"))
-    around = Window.orderBy("_part")
-    heads = firsts.select(
-        F.coalesce(F.lag("_part").over(around), F.max("_part").over(Window.partitionBy())).alias("_part"),
-        "_head",
-    )
-    heads = heads.withColumn("_head_sig", signature(F.col("_head"), width))
 
     q = F.floor(F.col("n_chars") / 4).cast("int")
     following = F.coalesce(F.lead("text").over(order), F.col("_head"))

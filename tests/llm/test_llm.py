@@ -315,19 +315,59 @@ def test_sharding(docs, empty):
     assert sharding.shard(empty, 4).count() == 0
 
 
-def test_fingerprints(docs, empty):
-    rows = fingerprints.fingerprint_with_edits(docs).orderBy("doc_id").collect()
+def plain_signature(text, bins=128, bits=8):
+    """The signature of a text from its shingles' hashes, bin by bin and probe by probe."""
+    from pageloom.llm.fingerprints import _odd_multiplier
+
+    best = {}
+    for h in text:
+        k = (h >> 57) + 64
+        best[k] = min(best.get(k, h), h)
+    out = []
+    for j in range(bins):
+        a, s = _odd_multiplier(2 * j + 2) & 127, (_odd_multiplier(2 * j + 1) & 127) | 1
+        probes = [j, *((a + s * t) & 127 for t in range(128))]
+        out.append(best[next(b for b in probes if b in best)] & (2**bits - 1))
+    return out
+
+
+def test_fingerprints(spark, docs, empty, monkeypatch):
     texts = [r.text or "" for r in docs.orderBy("doc_id").collect()]
-    for k, r in enumerate(rows):
-        a, b = texts[k], texts[(k + 1) % len(texts)]
-        q = len(a) // 4
-        assert r.edited_sha256 == hashlib.sha256((a[: len(a) - q] + b[:q]).encode()).hexdigest() and r.n_chars == len(a)
-        assert 0 <= r.near_edited <= 1 and len(r.fingerprint) == 256
-    by_text = defaultdict(set)
-    for k, r in enumerate(rows):
-        by_text[texts[k]].add(r.fingerprint)
-    assert all(len(s) == 1 for s in by_text.values())
+    hashes = {r.text: list(r.h) for r in docs.select(F.coalesce("text", F.lit("")).alias("text")).select("text", fingerprints.shingle_hashes(F.col("text")).alias("h")).collect()}
+    signatures = {x: plain_signature(h) for x, h in hashes.items()}
+    for part_rows in (500, 3):  # one part, and parts of a few rows
+        monkeypatch.setattr(fingerprints, "PART_ROWS", part_rows)
+        rows = fingerprints.fingerprint_with_edits(docs).orderBy("doc_id").collect()
+        assert len(rows) == len(texts)
+        for k, r in enumerate(rows):
+            a, b = texts[k], texts[(k + 1) % len(texts)]
+            q = len(a) // 4
+            assert r.edited_sha256 == hashlib.sha256((a[: len(a) - q] + b[:q]).encode()).hexdigest() and r.n_chars == len(a)
+            assert r.fingerprint == "".join(f"{v:02x}" for v in signatures[a])
+            agree = sum(x == y for x, y in zip(signatures[a], signatures[b], strict=True)) / 128
+            assert abs(r.near_next - max(0.0, (agree - 2**-8) / (1 - 2**-8))) < 1e-12 and 0 <= r.near_edited <= 1 and len(r.edited_fingerprint) == 256
     assert fingerprints.fingerprint_with_edits(empty).count() == 0
+    # Rows without an id come first, rows under one id follow each other by text.
+    few = frame(spark, ["c", "a", "b", "d"]).withColumn("doc_id", F.when(F.col("doc_id") < 2, F.lit(None)).otherwise(F.lit(7)).cast("long"))
+    got = {r.doc_id: 0 for r in fingerprints.fingerprint_with_edits(few).collect()}
+    assert set(got) == {None, 7} and fingerprints.fingerprint_with_edits(few).count() == 4
+    alone = fingerprints.fingerprint_with_edits(few.where("text = 'a'")).collect()
+    assert len(alone) == 1 and alone[0].near_next == 1.0
+
+
+def test_likeness_follows_the_similarity_of_shingles(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(500)]
+    texts = []
+    for k in range(60):
+        base = [rng.choice(vocabulary) for _ in range(300)]
+        texts += [" ".join(base), " ".join(w if rng.random() > k / 600 else "zz" for w in base)]
+    near = {r.doc_id: r.near_next for r in fingerprints.fingerprint_with_edits(frame(spark, texts)).collect()}
+    errors = []
+    for k in range(0, 120, 2):
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (texts[k].split(), texts[k + 1].split()))
+        errors.append(near[k] - len(a & b) / len(a | b))
+    assert abs(np.mean(errors)) < 0.02 and np.abs(errors).max() < 0.2
 
 
 def test_mixing(docs, empty):
