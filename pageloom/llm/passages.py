@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.common import cut_lineage, releasing
-from pageloom.llm.textops import Piece, mix64, pieces, power_tables
+from pageloom.llm.textops import Piece, mix64, pieces, power_tables, repeat_ranges
 
 GRAM_WORDS = 16
 TEXT_KEY = "text_key struct<a:long,b:long>"
@@ -29,6 +29,8 @@ SIEVE_SLOTS = 1 << 20
 STEP = 1 << 22
 #: Windows that a task compares, about, and texts under one anchor from which its windows are dealt out.
 TASK_WINDOWS, HOT_TEXTS = 1_000_000, 5000
+#: Shared anchors up to this many are sent to every task.
+BROADCAST_ANCHORS = 500_000
 
 
 def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -119,11 +121,16 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
                     [batch.column(0).take(at), pa.array(np.concatenate([anchor, count[whole]])), pa.array(none)], ["text_key", "anchor", "whole"]
                 )
 
-    found = cut_lineage(rows.mapInArrow(releasing(anchors), f"{TEXT_KEY}, anchor long, whole boolean").groupBy("text_key", "anchor", "whole").agg(F.count(F.lit(1)).alias("n")))
-    copies = found.where("whole and n > 1").select("text_key", F.lit(0).cast("long").alias("lo"), (F.col("anchor") - 1).alias("hi"))
-    per_anchor = found.where("not whole").groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    shared = cut_lineage(per_anchor)
-    sharing = cut_lineage(found.where("not whole").join(shared, "anchor", "left_semi").select("text_key").distinct())
+    found = cut_lineage(rows.mapInArrow(releasing(anchors), f"{TEXT_KEY}, anchor long, whole boolean"))
+    copies = found.where("whole").groupBy("text_key", "anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = copies.select("text_key", F.lit(0).cast("long").alias("lo"), (F.col("anchor") - 1).alias("hi"))
+    named = found.where("not whole").select("anchor", F.col("text_key.a").alias("a"))
+    per_anchor = named.groupBy("anchor").agg(F.min("a").alias("_a"), F.max("a").alias("_b"), F.count(F.lit(1)).alias("texts"))
+    shared = cut_lineage(per_anchor.where("_a <> _b").select("anchor", "texts"))
+    # Joined where they are while they are few, by a shuffle beyond.
+    anchors_shared, total = shared.agg(F.count(F.lit(1)), F.sum("texts")).first()
+    small = F.broadcast(shared) if anchors_shared <= BROADCAST_ANCHORS else shared
+    sharing = cut_lineage(found.where("not whole").join(small, "anchor", "left_semi").select("text_key").distinct())
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,38 +144,42 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
                 )
 
     texts = rows.join(sieve(sharing, "text_key"), slot("text_key") == F.col("_slot"), "left_semi").dropDuplicates(["text_key"])
-    met = texts.mapInArrow(releasing(hashes), f"{TEXT_KEY}, anchor long, first long, windows binary").join(shared, "anchor")
-    total = shared.agg(F.sum("texts")).first()[0] or 0
-    tasks = max(1, int(total) * words // 4 // TASK_WINDOWS + 1)
+    met = texts.mapInArrow(releasing(hashes), f"{TEXT_KEY}, anchor long, first long, windows binary").join(small, "anchor")
+    tasks = max(1, int(total or 0) * words // 4 // TASK_WINDOWS + 1)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows to tasks by anchor; of hot anchors, every window to a task by its hash."""
+        names = ["text_key", "task", "first", "windows", "starts"]
         for batch in batches:
-            anchor, first, count = (batch.column(c).to_numpy() for c in (1, 2, 4))
-            blobs, out = batch.column(3).to_pylist(), []
-            for k, blob in enumerate(blobs):
-                codes = np.frombuffer(blob, np.uint64)
-                if count[k] <= HOT_TEXTS:
-                    out.append((k, int(mix64(anchor[k : k + 1].view(np.uint64))[0] % np.uint64(tasks)), np.arange(len(codes)) + first[k], codes))
-                    continue
+            hot = batch.column(4).to_numpy() > HOT_TEXTS
+            task = (mix64(batch.column(1).to_numpy().view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
+            if not hot.all():
+                calm = batch.filter(pa.array(~hot))
+                yield pa.RecordBatch.from_arrays([calm.column(0), pa.array(task[~hot]), calm.column(2), calm.column(3), pa.nulls(len(calm), pa.binary())], names)
+            for k in np.flatnonzero(hot).tolist():
+                codes = np.frombuffer(batch.column(3)[k].as_py(), np.uint64)
                 to = (codes % np.uint64(tasks)).astype(np.int64)
-                out += [(k, int(t), np.flatnonzero(to == t) + first[k], codes[to == t]) for t in np.unique(to)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array([k for k, *_ in out], pa.int64())), pa.array([t for _, t, *_ in out], pa.int64()),
-                    pa.array([x.astype(np.int64).tobytes() for *_, x, _ in out], pa.binary()), pa.array([x.tobytes() for *_, x in out], pa.binary()),
-                ],
-                ["text_key", "task", "starts", "windows"],
-            )
+                own = np.unique(to)
+                parts = [np.flatnonzero(to == t) for t in own]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(np.full(len(own), k))), pa.array(own), pa.array(np.zeros(len(own), np.int64)),
+                        pa.array([codes[x].tobytes() for x in parts], pa.binary()), pa.array([(x + batch.column(2)[k].as_py()).astype(np.int64).tobytes() for x in parts], pa.binary()),
+                    ],
+                    names,
+                )
 
     def repeated(table: pa.Table) -> pa.Table:
         """Windows that two texts have, as ranges of each text."""
         table = table.combine_chunks()
         key = table.column("text_key").combine_chunks()
         codes = [np.frombuffer(w, np.uint64) for w in table.column("windows").to_pylist()]
-        size = np.array([len(c) for c in codes])
+        size, first = np.array([len(c) for c in codes]), table.column("first").to_numpy()
         row = np.repeat(np.arange(len(size)), size)
-        code, start = np.concatenate(codes), np.concatenate([np.frombuffer(x, np.int64) for x in table.column("starts").to_pylist()])
+        code, start = np.concatenate(codes), repeat_ranges(first, size)
+        ends = np.cumsum(size)
+        for k in np.flatnonzero(table.column("starts").is_valid().to_numpy()).tolist():
+            start[ends[k] - size[k] : ends[k]] = np.frombuffer(table.column("starts")[k].as_py(), np.int64)
         a, b = (key.field(c).to_numpy() for c in (0, 1))
         _, text = np.unique(np.stack([a, b], 1), axis=0, return_inverse=True)
         text = text.ravel()[row]
@@ -183,7 +194,7 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
         at[text] = row
         return pa.table([key.take(pa.array(at[owner])), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["text_key", "lo", "hi"])
 
-    marks = met.select("text_key", "anchor", "first", "windows", "texts").mapInArrow(releasing(deal), f"{TEXT_KEY}, task long, starts binary, windows binary")
+    marks = met.select("text_key", "anchor", "first", "windows", "texts").mapInArrow(releasing(deal), f"{TEXT_KEY}, task long, first long, windows binary, starts binary")
     marks = marks.groupBy("task").applyInArrow(repeated, f"{TEXT_KEY}, lo long, hi long").unionByName(copies)
     run = F.struct(F.col("lo").alias("start"), (F.col("hi") + words).alias("end"))
     return marks.groupBy("text_key").agg(F.array_sort(F.collect_set(run)).alias("passages"))

@@ -118,8 +118,9 @@ def test_passages(spark, docs, empty, monkeypatch):
             if len(rows[tuple(w[i : i + 50])]) > 1:
                 marked[i : i + 50] = b"\1" * 50
         expected.append("".join(map(str, marked)))
-    for hot in (5000, 1):
+    for hot, few in ((5000, 500_000), (1, 0)):
         monkeypatch.setattr(passages, "HOT_TEXTS", hot)
+        monkeypatch.setattr(passages, "BROADCAST_ANCHORS", few)
         got = suffix_dedup.remove_repeats(frame(spark, texts), 400, passage=50).collect()
         assert len(got) == len(texts)
         for r in got:
