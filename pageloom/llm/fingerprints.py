@@ -36,7 +36,9 @@ BITS = 8
 #: Probes before the rank of all full bins is computed instead.
 PROBES = 10
 #: Rows of consecutive doc_id that are one part, about, and parts at most: what the driver holds of the doc_ids.
-PART_ROWS, MOST_PARTS = 500, 1 << 16
+PART_ROWS, MOST_PARTS, EVEN = 128, 1 << 16, 8
+#: Parts that a partition has, about: several, so that the hash of their numbers deals them evenly.
+PARTS_TOGETHER = 16
 
 
 def _odd_multiplier(n: int) -> int:
@@ -120,9 +122,10 @@ def _bounds(docs: DataFrame) -> tuple[list[int], bool]:
     n, known, least = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.min("doc_id")).first()
     if not known:
         return [], n > 0
-    every = max(PART_ROWS, n // MOST_PARTS)
+    # Of a finer sample every few are bounds: parts are then of much the same size.
+    every = max(PART_ROWS // EVEN, n // (EVEN * MOST_PARTS), 1)
     chosen = docs.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(every)) == 0)).select("doc_id").distinct()
-    return sorted({int(least), *(int(r[0]) for r in chosen.collect())}), known < n
+    return sorted({int(least), *sorted(int(r[0]) for r in chosen.collect())[EVEN - 1 :: EVEN]}), known < n
 
 
 def _array(values: list[int]) -> Column:
@@ -154,8 +157,7 @@ def fingerprint_with_edits(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     firsts = placed.where(is_first).groupBy("_part").agg(F.min("text").alias("_head"))
     to = F.when(F.col("_part") == first, F.lit(last)).otherwise(F.col("_part") - 1)
     heads = firsts.select(to.alias("_part"), "_head", signature(F.col("_head"), width).alias("_head_sig"))
-    # Several parts a partition, so that the hash of their numbers deals them evenly.
-    placed = placed.repartition(max((last + 1) // 4, 2 * docs.sparkSession.sparkContext.defaultParallelism), "_part")
+    placed = placed.repartition(max((last + 1) // PARTS_TOGETHER, 2 * docs.sparkSession.sparkContext.defaultParallelism), "_part")
     order = Window.partitionBy("_part").orderBy("doc_id", "text")
 
     q = F.floor(F.col("n_chars") / 4).cast("int")
