@@ -3,7 +3,7 @@
 Every run of ``words`` words is a window.  It names an anchor: the leftmost of its GRAM_WORDS-word strings with the least
 hash.  Equal windows have equal anchors, so only windows under an anchor that occurs in different texts can repeat;
 a first pass sends anchors alone, a second the windows' hashes of texts that share one.  Windows under an anchor of very
-many texts are dealt by their hashes, so no anchor is one task's.
+many texts are dealt by their hashes into parts, so no anchor is one task's.
 
 Defined cases: a text with fewer words has no passage; null texts have none; texts that are equal share all their words;
 words are compared as they are written, whatever white space stands between them.
@@ -28,7 +28,7 @@ SIEVE_SLOTS = 1 << 20
 #: Windows handled at once; only one longer text is cut there.
 STEP = 1 << 22
 #: Windows that a task compares, about, and texts under one anchor from which its windows are dealt out.
-TASK_WINDOWS, HOT_TEXTS = 1_000_000, 5000
+TASK_WINDOWS, HOT_TEXTS = 200_000, 2000
 #: Shared anchors up to this many are sent to every task.
 BROADCAST_ANCHORS = 500_000
 
@@ -157,10 +157,12 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
                 calm = batch.filter(pa.array(~hot))
                 yield pa.RecordBatch.from_arrays([calm.column(0), pa.array(task[~hot]), calm.column(2), calm.column(3), pa.nulls(len(calm), pa.binary())], names)
             for k in np.flatnonzero(hot).tolist():
+                # As many parts as the anchor has texts too many, each somewhere else.
                 codes = np.frombuffer(batch.column(3)[k].as_py(), np.uint64)
-                to = (codes % np.uint64(tasks)).astype(np.int64)
-                own = np.unique(to)
-                parts = [np.flatnonzero(to == t) for t in own]
+                part = codes % np.uint64(-(-batch.column(4)[k].as_py() // HOT_TEXTS))
+                found = np.unique(part)
+                parts = [np.flatnonzero(part == p) for p in found]
+                own = (mix64(batch.column(1).to_numpy()[k : k + 1].view(np.uint64) + found + np.uint64(1)) % np.uint64(tasks)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(np.full(len(own), k))), pa.array(own), pa.array(np.zeros(len(own), np.int64)),

@@ -78,7 +78,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, span: int) -> tuple[np.ndarr
 
 
 def _anchored(docs: DataFrame, span: int) -> DataFrame:
-    """Segments: anchor, segment, text key, first and last start, how many rows have it, and one of their doc_ids."""
+    """Segments of every row: doc_id, text key, anchor, segment, first and last start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,11 +91,7 @@ def _anchored(docs: DataFrame, span: int) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").where(F.octet_length("text") >= span)
-    return (
-        rows.mapInArrow(releasing(run), f"doc_id long, {TEXT_KEY}, anchor long, segment long, first long, last long")
-        .groupBy("anchor", "segment", "text_key", "first", "last")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
-    )
+    return rows.mapInArrow(releasing(run), f"doc_id long, {TEXT_KEY}, anchor long, segment long, first long, last long")
 
 
 def repeated_starts(segments_: list[bytes], windows: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,7 +199,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, passage: int | None = None
     """
     found = cut_lineage(_anchored(docs, span))
     distinct = found.groupBy("anchor", "segment").agg(
-        F.sum("n").alias("n"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("at")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_key", "first", "last")).alias("at")
     )
     per_anchor = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).where("total > 1")
     contested = cut_lineage(distinct.join(per_anchor, "anchor"))
