@@ -102,6 +102,20 @@ GUIDANCE = {
     "other": "Light coverage. Preserve only the role this material plays in setting up or closing the book.",
 }
 
+# --- fixed values: sentences of every map and map review ---
+OVERALL_GUIDANCE = (
+    "Give the most space to chapters or packets with priority 4-5; compress priority 1-2 material unless it frames the thesis.",
+    "Treat reference and endmatter sections as documentation, not as core argumentative chapters.",
+    "Use framing sections to explain the book's setup and transitions, but do not let them crowd out the main argument.",
+    "Aim for a substantial study-guide summary, not jacket-copy brevity: core chapters should carry enough detail to reconstruct the book's real argument and examples.",
+)
+REVIEW_INTRODUCTION = "These are pre-summary heuristics to review before completing chunk prompts."
+REVIEW_NONE = "No map review warnings were detected."
+REVIEW_GUIDANCE = (
+    "Use these warnings as workflow guidance, not as evidence about the book itself.",
+    "If a packet mixes core material with supplemental sections, give the core material the space and compress the supplemental sections aggressively.",
+)
+
 # --- fixed values: audit ---
 AUDIT_SUPPLEMENTAL = ("sources", "recommended reading", "reading", "timeline", "about the author", "want more", "appreciation", "bonus")
 EVALUATIVE = ("brilliant", "visionary", "genius", "remarkable", "inspiring", "iconic", "legendary", "masterful", "extraordinary", "amazing")

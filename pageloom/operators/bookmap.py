@@ -7,15 +7,6 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import fixed, text as t
 
-#: Fixed text of every map.
-OVERALL_GUIDANCE = (
-    "Give the most space to chapters or packets with priority 4-5; compress priority 1-2 material unless it frames the thesis.",
-    "Treat reference and endmatter sections as documentation, not as core argumentative chapters.",
-    "Use framing sections to explain the book's setup and transitions, but do not let them crowd out the main argument.",
-    "Aim for a substantial study-guide summary, not jacket-copy brevity: core chapters should carry enough detail to reconstruct the book's real argument and examples.",
-)
-
-
 def _profiled(rows: DataFrame) -> DataFrame:
     """Weight, guidance and role as they follow from ``packet_kind``."""
     kind = F.col("packet_kind")
@@ -102,12 +93,23 @@ def render_map(chapters: DataFrame, titles: DataFrame) -> DataFrame:
         line("Detail guidance", "detail_guidance"), line("Packet count", "packet_count"), line("Section count", "section_count"), line("Role", "role_in_book"), shown,
     )
     blocks = chapters.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chapter_pos", block.alias("b")))), lambda s: s["b"]), "\n\n").alias("_b"))
-    head = "".join(f"- {g}\n" for g in OVERALL_GUIDANCE)
+    head = "".join(f"- {g}\n" for g in fixed.OVERALL_GUIDANCE)
     return titles.join(blocks, "doc_id", "left").select(
         "doc_id", F.concat(F.lit("# "), "book_title", F.lit(f" - Book Map\n\n## Overall Guidance\n\n{head}\n## Chapter Profiles"), F.coalesce(F.concat(F.lit("\n\n"), "_b"), F.lit("")), F.lit("\n")).alias("markdown")
     )
 
 
+def render_review(findings: DataFrame, titles: DataFrame) -> DataFrame:
+    """(doc_id, markdown) of a map review."""
+    order = F.array_sort(F.collect_list(F.struct((F.col("scope") == "chapter").alias("s"), "item", "ord", "warning")))
+    listed = findings.groupBy("doc_id").agg(F.array_join(F.transform(order, lambda w: F.concat(F.lit("- "), w["warning"])), "\n").alias("_w"))
+    told = F.when(F.col("_w").isNotNull(), F.concat(F.lit(f"## Warnings\n\n{fixed.REVIEW_INTRODUCTION}\n\n"), "_w")).otherwise(F.lit(fixed.REVIEW_NONE))
+    guidance = "".join(f"- {g}\n" for g in fixed.REVIEW_GUIDANCE)
+    return titles.join(listed, "doc_id", "left").select(
+        "doc_id", F.concat(F.lit("# "), "book_title", F.lit(" - Map Review\n\n"), told, F.lit(f"\n\n## Guidance\n\n{guidance}")).alias("markdown")
+    )
+
+
 def run_statistics(sections: DataFrame, packets: DataFrame, chapters: DataFrame, titles: DataFrame) -> DataFrame:
     """Counts and token sums per document."""
     s = sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("section_count"), F.sum("token_estimate").alias("source_token_estimate"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pageloom.functions import schemas, text as t
 
@@ -197,3 +200,65 @@ class TemplateClient(ModelClient):
 
     def answer(self, item_id: str, prompt: str) -> str:
         return self._payload
+
+
+def response_text(body: dict) -> str:
+    """The text of a model's answer: the whole of it where it is given, else its message parts; a refusal is an error."""
+    whole = body.get("output_text")
+    if isinstance(whole, str) and whole.strip():
+        return whole
+    contents = [c for item in body.get("output", ()) if item.get("type") == "message" for c in item.get("content", ())]
+    refused = next((c for c in contents if c.get("type") == "refusal"), None)
+    if refused is not None:
+        raise ValueError(f"refused: {refused.get('refusal', '')}")
+    text = "".join(c.get("text", "") for c in contents if c.get("type") == "output_text").strip()
+    if not text:
+        raise ValueError("an answer without text")
+    return text
+
+
+class PatientClient(ModelClient):
+    """Another client's answers, asked for again while they are no valid JSON of the stage: ``attempts`` times, with longer
+    and longer pauses."""
+
+    def __init__(self, client: ModelClient, stage: str, attempts: int = 3, pause: float = 1.5):
+        self._client, self._stage, self._attempts, self._pause = client, stage, attempts, pause
+
+    def answer(self, item_id: str, prompt: str) -> str:
+        last: Exception | None = None
+        for attempt in range(self._attempts):
+            try:
+                payload = self._client.answer(item_id, prompt)
+                names = schemas.STAGE_SCHEMAS[self._stage]
+                if any(not schemas.errors(json.loads(payload), schemas.SCHEMAS[n]) for n in names):
+                    return payload
+                last = ValueError(f"no {' or '.join(names)}")
+            except Exception as e:  # noqa: BLE001
+                last = e
+            time.sleep(self._pause * (attempt + 1))
+        raise RuntimeError(f"{self._stage} {item_id}: no answer in {self._attempts} attempts: {last}")
+
+
+class CachedClient(ModelClient):
+    """Another client's answers, looked up in a store by the hash of the stage and prompt before they are asked for."""
+
+    def __init__(self, client: ModelClient, store, stage: str):
+        self._client, self._store, self._stage = client, store, stage
+
+    def run(self, prompts: DataFrame) -> DataFrame:
+        keyed = prompts.withColumn("key", canonical_key(F.lit(self._stage), F.col("prompt")))
+        asked = self._store.missing(keyed.dropDuplicates(["key"]))
+        named = asked.select(F.col("key").alias("item_id"), "prompt")
+        self._store.save(self._client.run(named).select(F.col("item_id").alias("key"), "payload"))
+        return self._store.load(keyed).select("item_id", "payload")
+
+
+@F.pandas_udf(StringType())
+def _canonical(stage: pd.Series, payload: pd.Series) -> pd.Series:
+    stated = (json.dumps({"stage": s, "payload": p}, sort_keys=True, ensure_ascii=False) for s, p in zip(stage, payload, strict=True))
+    return pd.Series([hashlib.sha256(x.encode()).hexdigest() for x in stated])
+
+
+def canonical_key(stage: Column, payload: Column) -> Column:
+    """SHA-256 of stage and payload as JSON with sorted keys."""
+    return _canonical(stage, payload)

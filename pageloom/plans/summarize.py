@@ -18,6 +18,15 @@ INSTRUCTIONS = {
     "verify": "Check the final summary against the chapter summaries. List issues, and return the corrected summary.",
 }
 
+#: What a reader of a job's folder is told to do, in order.
+RUNBOOK = (
+    "Read the map review and the book map.",
+    "Answer every chunk prompt with one JSON object of its template's shape.",
+    "Build the chapter prompts and answer them; then the final prompt.",
+    "Build the verify prompt, unless the profile leaves it out, and answer it.",
+    "Assemble the summary, and read the audit before it is used.",
+)
+
 
 @dataclass(frozen=True)
 class Config:

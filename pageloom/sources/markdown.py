@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,16 @@ def cache_key(stage: Column, payload: Column) -> Column:
     return F.sha2(F.concat(stage, F.lit("\n"), payload), 256)
 
 
+def read_contract(spark: SparkSession, path: str) -> str:
+    """The instructions that stand before every prompt: one text file, trimmed."""
+    return (spark.read.text(path, wholetext=True).first() or [""])[0].strip()
+
+
+def write_texts(rows: DataFrame, path: str, name: str = "name", text: str = "text") -> None:
+    """One folder per name, each with its text: for readers outside of Spark."""
+    rows.select(F.col(text).alias("value"), F.col(name).alias("name")).write.mode("errorifexists").partitionBy("name").text(path)
+
+
 class CacheTable:
     """A content-addressed store: rows (key, payload) in a folder, appended and looked up by join."""
 
@@ -68,7 +79,13 @@ class CacheTable:
         self._spark, self._path = spark, path
 
     def _rows(self) -> DataFrame:
-        return self._spark.read.schema("key string, payload string").parquet(self._path).dropDuplicates(["key"])
+        try:
+            rows = self._spark.read.schema("key string, payload string").parquet(self._path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = self._spark.createDataFrame([], "key string, payload string")
+        return rows.dropDuplicates(["key"])
 
     def load(self, requests: DataFrame) -> DataFrame:
         """Requests with their payload, null where there is none."""
