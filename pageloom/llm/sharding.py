@@ -97,10 +97,8 @@ def best_fit_decreasing(histogram: list[tuple[int, int]], bins: int, capacity: i
     return runs
 
 
-def pack_into(histogram: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int, int]]:
+def _smallest(histogram: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int, int]]:
     """Best-fit decreasing at the smallest workable capacity."""
-    if not histogram:
-        return []
     total = sum(s * n for s, n in histogram)
     low = max(-(-total // bins), max(s for s, _ in histogram))
     step = max(1, low // PRECISION)
@@ -117,6 +115,22 @@ def pack_into(histogram: list[tuple[int, int]], bins: int) -> list[tuple[int, in
     return runs
 
 
+def pack_into(histogram: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int, int]]:
+    """Runs (size, first rank, past-the-end rank, bin).  A group above an even share of what is left has a bin to itself;
+    all others are packed into the other bins."""
+    left, total, own = dict(histogram), sum(s * n for s, n in histogram), []
+    for size in sorted(left, reverse=True):
+        while left[size] and len(own) < bins - 1 and size * (bins - len(own)) > total:
+            own.append(size)
+            left[size] -= 1
+            total -= size
+    runs = [(size, own[:b].count(size), own[:b].count(size) + 1, b) for b, size in enumerate(own)]
+    rest = [(s, n) for s, n in left.items() if n]
+    if rest:
+        runs += [(s, own.count(s) + a, own.count(s) + z, b + len(own)) for s, a, z, b in _smallest(rest, bins - len(own))]
+    return runs
+
+
 def rank_within(df: DataFrame, by: list[str], order: list[str], n_buckets: int, out: str) -> DataFrame:
     """Adds ``out``: a gapless number from 0 within ``by``, without one task holding all rows of a key."""
     bucketed = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(n_buckets)).cast("int"))

@@ -316,6 +316,133 @@ def test_sharding(docs, empty):
     assert sharding.shard(empty, 4).count() == 0
 
 
+def test_large_groups_leave_the_other_shards_even():
+    for histogram in ([(1000, 1), (7, 120), (3, 40), (11, 5)], [(900, 1), (600, 2), (5, 100)], [(500, 3)], [(4, 7)], [(9, 2), (1, 1)]):
+        runs = sharding.pack_into(histogram, 8)
+        loads, ranks = Counter(), defaultdict(list)
+        for size, first, past, bin_no in runs:
+            loads[bin_no] += size * (past - first)
+            ranks[size] += range(first, past)
+        assert {s: sorted(r) for s, r in ranks.items()} == {s: list(range(n)) for s, n in histogram}
+        total, big = sum(s * n for s, n in histogram), sorted((s for s, n in histogram for _ in range(n)), reverse=True)
+        alone = 0
+        while alone < min(7, len(big)) and big[alone] * (8 - alone) > total:
+            total -= big[alone]
+            alone += 1
+        rest = sorted(loads.values(), reverse=True)[alone:]
+        if len(big) > 50:
+            assert max(rest) - min(rest) <= max(big[alone:]) and len(loads) == 8
+    assert sharding.pack_into([], 4) == []
+
+
+def test_ranges_of_the_mix_follow_the_rows():
+    from pageloom.llm.mixing import range_digits
+
+    assert [range_digits(n) for n in (0, 10**6, 16_384_001, 2 * 10**10)] == [3, 3, 4, 6]
+
+
+def test_ratios_and_margins_against_plain_python(spark):
+    from pageloom.llm import quality
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["calm", "Plain", "prose!", "12", "BUY", "now"]) for _ in range(rng.randint(0, 25))) for _ in range(50)]
+    labels = [(k, k % 3 % 2) for k in range(40)]
+    docs_, marks = frame(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = train(docs_, marks)
+    own = []
+    for x in texts:
+        (piece,) = pieces(pa.array([x]))
+        own.append(set(quality.features(piece)[1].tolist()))
+    p, q = (Counter({b: sum(b in own[k] for k, y in labels if y == c) for b in set().union(*own)}) for c in (1, 0))
+    total = [sum(c.values()) + quality.BUCKETS * quality.SMOOTHING for c in (p, q)]
+    for b in set().union(*own):
+        assert abs(model.ratio[b] - np.log((p[b] + 1) / total[0] / ((q[b] + 1) / total[1]))) < 1e-5
+    got = {r.doc_id: r.score for r in score(docs_, model).collect()}
+
+    def margin(k, weight, intercept):
+        norm = np.sqrt(sum(float(model.ratio[b]) ** 2 for b in own[k]))
+        return sum(float(model.ratio[b]) * weight[b] for b in own[k]) / (norm or 1.0) + intercept
+
+    for k in range(50):
+        assert abs(got[k] - 1 / (1 + np.exp(-quality.SLOPE * margin(k, model.weight, model.intercept)))) < 1e-6
+
+    # The fit minimises the hinge loss: no step away from it does better.
+    share = np.mean([y for _, y in labels])
+    cost = {1: quality.PENALTY * 0.5 / share, 0: quality.PENALTY * 0.5 / (1 - share)}
+
+    def loss(weight, intercept):
+        hinge = sum(cost[y] * max(0.0, 1 - (1 if y else -1) * margin(k, weight, intercept)) for k, y in labels)
+        return 0.5 * float(weight @ weight + intercept * intercept) + hinge
+
+    used, best = sorted(set().union(*own)), loss(model.weight.astype(float), model.intercept)
+    steps = np.random.default_rng(2)
+    for size in (0.3, 0.1, 0.03):
+        for _ in range(20):
+            other = model.weight.astype(float)
+            other[used] += steps.normal(0, size / len(used) ** 0.5, len(used))
+            assert loss(other, model.intercept + steps.normal(0, size / 3)) > best - 1e-2 * best
+
+
+def test_secrets_against_plain_python(spark, docs):
+    import math
+    import re
+
+    def bits(w):
+        return -sum(n / 20 * math.log2(n / 20) for n in Counter(w).values())
+
+    def kind_of(w):
+        digit, lower, upper = (any(c in a for c in w) for a in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+        plain_ = all(c.isalnum() for c in w)
+        if digit and plain_ and all(c in "0123456789abcdefABCDEF" for c in w):
+            return 3.0
+        if digit and (lower or upper):
+            return 3.4
+        if not digit and lower and sum(c.isupper() for c in w) >= 4:
+            return 3.6
+        if plain_ and not digit and lower != upper:
+            return 3.3
+        return 99.0
+
+    def plain_spans(text):
+        found = []
+        for m in re.finditer(r"(?a:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+            if len(m[1]) >= 6:
+                found.append(("assign", *m.span()))
+        found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        taken = set().union(*(range(a, b) for _, a, b in found)) if found else set()
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            runs = []
+            for i in range(len(m[0]) - 19):
+                w = m[0][i : i + 20]
+                if bits(w) >= kind_of(w) - 1e-12:
+                    a, b = m.start() + i, m.start() + i + 20
+                    if runs and a <= runs[-1][1]:
+                        runs[-1][1] = b
+                    else:
+                        runs.append([a, b])
+            for a, b in runs:
+                if any(p.search(text[a:b]) for p in secrets_allowed()):
+                    continue
+                at = a
+                for i in range(a, b + 1):
+                    if i == b or i in taken:
+                        if at < i:
+                            found.append(("entropy", at, i))
+                        at = i + 1
+        return sorted(found)
+
+    rng = random.Random(17)
+    keys = ["".join(rng.choice(a) for _ in range(rng.randint(20, 64))) for a in ("0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz") for _ in range(12)]
+    texts = [f"é {rng.choice(['see', 'key', 'token =', 'x/', 'Secret: '])}{k}{rng.choice([' end', '', '=', ',more'])}" for k in keys]
+    texts += ["a" * 40, "abcdefghij" * 3, "EXAMPLE" * 5, "password: short", "api_key='longer.value-1'", "AKIA" + "Q" * 30, "0123456789" * 4, "the quick brown fox", None, ""]
+    texts += [x for x in corpus() if x is not None]
+    got = {r.doc_id: sorted((s.kind, s.start, s.end) for s in r.spans) for r in secrets.scan(frame(spark, texts)).collect()}
+    assert got == {k: plain_spans(x or "") for k, x in enumerate(texts)}
+    # Keys that no pattern states are found by their entropy alone.
+    assert sum(any(s[0] in ("entropy", "hex", "assign") for s in got[k]) for k in range(len(keys))) >= 0.95 * len(keys)
+
+
 def plain_signature(text, bins=128, bits=8):
     """The signature of a text from its shingles' hashes, bin by bin and probe by probe."""
     from pageloom.llm.fingerprints import _odd_multiplier
