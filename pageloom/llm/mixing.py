@@ -9,8 +9,8 @@ Sampling: a source read r times takes every document floor(r) times; the fractio
 in a seeded order (md5 of seed and doc_id), whole documents first and, for the one document at the edge,
 only as many words as are missing.  What a source takes is thus its target rounded to a word.
 
-No source is ever held in one task: the order is cut into ``BUCKETS`` ranges of the hash, per-range sums
-are pre-aggregated, and only a range is sorted at a time.
+No source is ever held in one task: the order is cut into ranges of the hash, as many as the rows ask for, per-range
+sums are pre-aggregated, and only a range is sorted at a time.
 
 Defined cases: null text has size 0 and takes 0; null source is a source of its own, last in order; rows
 with the same doc_id are separate rows next to each other in the order; an empty table gives an empty
@@ -24,10 +24,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import word_count
+from pageloom.llm.common import ROWS_PER_BUCKET, word_count
 
-#: Ranges of the hash order per source: two to the power of 12, three hex digits.
-BUCKET_DIGITS = 3
+#: Hex digits of the hash that name a range of a source's order, at least; more rows have more ranges.
+LEAST_DIGITS = 3
+
+
+def range_digits(rows: int) -> int:
+    """Digits whose ranges hold about ROWS_PER_BUCKET rows each, were all rows one source's."""
+    digits = LEAST_DIGITS
+    while rows > ROWS_PER_BUCKET << 4 * digits:
+        digits += 1
+    return digits
 
 
 def water_fill(sizes: DataFrame, weights: Sequence[float], max_epochs: int, share: float) -> DataFrame:
@@ -75,7 +83,7 @@ def mix_sources(
         word_count("text").alias("size"),
         order.alias("_key"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
-    ).withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
+    ).withColumn("_bucket", F.substring("_key", 1, range_digits(docs.count())))
 
     ranges = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_in_range"))
     targets = water_fill(ranges.groupBy("source").agg(F.sum("_in_range").alias("source_size")), weights, max_epochs, share)
