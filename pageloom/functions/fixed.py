@@ -120,6 +120,52 @@ REVIEW_GUIDANCE = (
 AUDIT_SUPPLEMENTAL = ("sources", "recommended reading", "reading", "timeline", "about the author", "want more", "appreciation", "bonus")
 EVALUATIVE = ("brilliant", "visionary", "genius", "remarkable", "inspiring", "iconic", "legendary", "masterful", "extraordinary", "amazing")
 BOOK_FORMS = ("compilation", "compiled", "curated", "manual", "guide", "edited", "public words", "public statements")
+# Warnings of the map review and the audit; those that begin with a colon follow a name.
+AUDIT_SENTENCES = {
+    "packet_mixes": ": packet mixes likely supplemental/endmatter sections with core chapter material; consider splitting earlier",
+    "packet_mixed": ": packet is still classified as mixed at priority ",
+    "packet_mixed_end": "; review weighting before summarizing",
+    "chapter_mixed": ": chapter remains mixed in the map; summaries may need extra proportion judgment",
+    "chapter_documentary": ": chapter is classified as documentary despite high priority; review upstream packet splitting or weighting",
+    "chunk_long": "reference/endmatter chunk summary looks too long for its priority",
+    "chunk_short": "high-priority chunk summary looks too short for its weighting",
+    "chunk_points_few": "high-priority chunk should usually preserve at least three main points",
+    "chunk_no_claims": "core-argument chunk is missing primary_claims",
+    "chunk_no_methods": "core-argument chunk is missing methods_or_principles",
+    "chunk_no_events": "case-study chunk is missing story_events",
+    "chunk_points_many": "reference/endmatter chunk preserves too many points for compressed material",
+    "chunk_no_sections": "chunk output is missing covered_sections content",
+    "chapter_long": "reference/endmatter chapter summary looks too long for its priority",
+    "chapter_short": "high-priority chapter summary looks too short for its weighting",
+    "chapter_points_few": "high-priority chapter should usually preserve at least three major points",
+    "chapter_no_story": "case-study chapter is missing story_progression",
+    "chapter_no_methods": "core-argument chapter is missing methods_or_principles",
+    "chapter_points_many": "reference/endmatter chapter preserves too many major points for compressed material",
+    "chapter_no_cues": "chapter output is missing what_to_preserve_in_final guidance",
+    "final_summary_brief": "executive_summary looks too brief for a publication-quality book synthesis",
+    "final_structure_brief": "structural_overview should more clearly explain how the book is organized",
+    "final_themes_thin": "major_themes looks too thin; preserve more of the book's recurring ideas",
+    "final_examples_thin": "notable_examples looks too thin; preserve more representative episodes or examples",
+    "final_takeaways_thin": "practical_takeaways looks too thin for a substantial final summary",
+    "final_evaluative": "final summary contains evaluative language that may drift into admiration or critique",
+    "final_form": "executive_summary should identify what kind of book this is when the source material does so",
+    "final_uncertainty": "final faithfulness_notes should acknowledge chapter-level ambiguity or OCR uncertainty",
+    "final_chapter_count": "final summary chapter count does not match the chapter profiles in the book map",
+    "chapter_missing": "final summary is missing chapter coverage for ",
+    "chapter_over_expanded": ": low-priority chapter summary looks over-expanded in the final synthesis",
+    "chapter_compressed": ": high-priority chapter summary looks too compressed in the final synthesis",
+    "chapter_ungrounded": ": final chapter summary may not be grounded in the chapter-stage evidence",
+    "chapter_cues_lost": ": final synthesis may be under-preserving key chapter material (",
+    "chapter_cues_none": ": none of the chapter preservation cues appear in the final synthesis",
+    "chapter_unexpected": "final summary includes an unexpected chapter title: ",
+    "example_ungrounded": "final notable example may not be grounded in chapter examples: ",
+    "count_mismatch": " output count mismatch: expected ",
+    "legacy_count": " outputs still use the legacy schema and are being auto-enriched",
+    "prepared_count": "final summary chapter count does not match prepared chapter count",
+    "final_missing": "final output is missing",
+    "verify_missing": "verify output is missing",
+    "verify_unchanged": "verify output lists issues but leaves the final summary unchanged",
+}
 UNCERTAINTY = ("ocr", "unclear", "ambigu", "truncat", "damaged", "noisy", "illegible", "run together")
 
 # --- fixed values: packet sizes of the profiles (target, max, verify) ---

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pageloom.functions import fixed, text as t
 from pageloom.operators import payloads
 
+_SAID = fixed.AUDIT_SENTENCES
+
 
 def _findings(rows: DataFrame, scope: str, item: Column, rules: list[tuple[Column, str | Column]]) -> DataFrame:
     said = F.array(*[F.when(rule, F.lit(text) if isinstance(text, str) else text) for rule, text in rules])
@@ -27,14 +29,14 @@ def chunk_findings(chunks: DataFrame) -> DataFrame:
     kind, length, weight = F.coalesce("packet_kind", F.lit("mixed")), t.word_count(F.col("summary")), _weight()
     minor = kind.isin(*fixed.DOCUMENTARY)
     rules = [
-        (minor & (length > 180), "reference/endmatter chunk summary looks too long for its priority"),
-        ((weight >= 4) & (length < 90), "high-priority chunk summary looks too short for its weighting"),
-        ((weight >= 4) & (_count("main_points") < 3), "high-priority chunk should usually preserve at least three main points"),
-        ((kind == "core_argument") & (_count("primary_claims") == 0), "core-argument chunk is missing primary_claims"),
-        ((kind == "core_argument") & (_count("methods_or_principles") == 0), "core-argument chunk is missing methods_or_principles"),
-        ((kind == "case_study") & (_count("story_events") == 0), "case-study chunk is missing story_events"),
-        (minor & (_count("main_points") > 4), "reference/endmatter chunk preserves too many points for compressed material"),
-        (F.coalesce(F.size("covered_sections"), F.lit(0)) == 0, "chunk output is missing covered_sections content"),
+        (minor & (length > 180), _SAID["chunk_long"]),
+        ((weight >= 4) & (length < 90), _SAID["chunk_short"]),
+        ((weight >= 4) & (_count("main_points") < 3), _SAID["chunk_points_few"]),
+        ((kind == "core_argument") & (_count("primary_claims") == 0), _SAID["chunk_no_claims"]),
+        ((kind == "core_argument") & (_count("methods_or_principles") == 0), _SAID["chunk_no_methods"]),
+        ((kind == "case_study") & (_count("story_events") == 0), _SAID["chunk_no_events"]),
+        (minor & (_count("main_points") > 4), _SAID["chunk_points_many"]),
+        (F.coalesce(F.size("covered_sections"), F.lit(0)) == 0, _SAID["chunk_no_sections"]),
     ]
     return _findings(chunks, "chunk", F.col("item_id"), rules)
 
@@ -44,13 +46,13 @@ def chapter_findings(chapters: DataFrame) -> DataFrame:
     kind, length, weight = F.coalesce("chapter_kind", F.lit("mixed")), t.word_count(F.col("summary")), _weight()
     minor = kind.isin(*fixed.DOCUMENTARY)
     rules = [
-        (minor & (length > 220), "reference/endmatter chapter summary looks too long for its priority"),
-        ((weight >= 4) & (length < 140), "high-priority chapter summary looks too short for its weighting"),
-        ((weight >= 4) & (_count("major_points") < 3), "high-priority chapter should usually preserve at least three major points"),
-        ((kind == "case_study") & (_count("story_progression") == 0), "case-study chapter is missing story_progression"),
-        ((kind == "core_argument") & (_count("methods_or_principles") == 0), "core-argument chapter is missing methods_or_principles"),
-        (minor & (_count("major_points") > 5), "reference/endmatter chapter preserves too many major points for compressed material"),
-        (F.coalesce(F.size("what_to_preserve_in_final"), F.lit(0)) == 0, "chapter output is missing what_to_preserve_in_final guidance"),
+        (minor & (length > 220), _SAID["chapter_long"]),
+        ((weight >= 4) & (length < 140), _SAID["chapter_short"]),
+        ((weight >= 4) & (_count("major_points") < 3), _SAID["chapter_points_few"]),
+        ((kind == "case_study") & (_count("story_progression") == 0), _SAID["chapter_no_story"]),
+        ((kind == "core_argument") & (_count("methods_or_principles") == 0), _SAID["chapter_no_methods"]),
+        (minor & (_count("major_points") > 5), _SAID["chapter_points_many"]),
+        (F.coalesce(F.size("what_to_preserve_in_final"), F.lit(0)) == 0, _SAID["chapter_no_cues"]),
     ]
     return _findings(chapters, "chapter", F.col("item_id"), rules)
 
@@ -79,15 +81,15 @@ def final_findings(finals: DataFrame, chapters: DataFrame, profiles: DataFrame)
     named = F.array_distinct(F.filter(F.transform("chapter_summaries", lambda s: s["chapter_title"]), lambda c: c != ""))
     own = finals.join(upstream, "doc_id", "left").join(mapped, "doc_id", "left")
     rules = [
-        (t.word_count(F.col("executive_summary")) < 180, "executive_summary looks too brief for a publication-quality book synthesis"),
-        (t.word_count(F.col("structural_overview")) < 70, "structural_overview should more clearly explain how the book is organized"),
-        (_count("major_themes") < 5, "major_themes looks too thin; preserve more of the book's recurring ideas"),
-        (_count("notable_examples") < 6, "notable_examples looks too thin; preserve more representative episodes or examples"),
-        (_count("practical_takeaways") < 5, "practical_takeaways looks too thin for a substantial final summary"),
-        (t.any_marker(evaluative, fixed.EVALUATIVE), "final summary contains evaluative language that may drift into admiration or critique"),
-        (F.col("form_told") & ~t.has_marker(F.col("executive_summary"), fixed.BOOK_FORMS), "executive_summary should identify what kind of book this is when the source material does so"),
-        (F.col("ambiguous") & ~t.mentions_uncertainty(strings("faithfulness_notes")), "final faithfulness_notes should acknowledge chapter-level ambiguity or OCR uncertainty"),
-        (F.size(named) != F.coalesce("mapped", F.lit(0)), "final summary chapter count does not match the chapter profiles in the book map"),
+        (t.word_count(F.col("executive_summary")) < 180, _SAID["final_summary_brief"]),
+        (t.word_count(F.col("structural_overview")) < 70, _SAID["final_structure_brief"]),
+        (_count("major_themes") < 5, _SAID["final_themes_thin"]),
+        (_count("notable_examples") < 6, _SAID["final_examples_thin"]),
+        (_count("practical_takeaways") < 5, _SAID["final_takeaways_thin"]),
+        (t.any_marker(evaluative, fixed.EVALUATIVE), _SAID["final_evaluative"]),
+        (F.col("form_told") & ~t.has_marker(F.col("executive_summary"), fixed.BOOK_FORMS), _SAID["final_form"]),
+        (F.col("ambiguous") & ~t.mentions_uncertainty(strings("faithfulness_notes")), _SAID["final_uncertainty"]),
+        (F.size(named) != F.coalesce("mapped", F.lit(0)), _SAID["final_chapter_count"]),
     ]
     about_whole = _findings(own, "final", F.lit("final"), rules)
 
@@ -103,19 +105,19 @@ def final_findings(finals: DataFrame, chapters: DataFrame, profiles: DataFrame)
     about_chapters = _findings(
         both, "final", title,
         [
-            (~here, F.concat(F.lit("final summary is missing chapter coverage for "), title)),
-            (here & (weight <= 2) & (length > 170), F.concat(title, F.lit(": low-priority chapter summary looks over-expanded in the final synthesis"))),
-            (here & (weight >= 4) & (length < 110), F.concat(title, F.lit(": high-priority chapter summary looks too compressed in the final synthesis"))),
-            (here & ~t.shares_tokens(F.col("told"), payloads.chapter_pool()), F.concat(title, F.lit(": final chapter summary may not be grounded in the chapter-stage evidence"))),
-            (here & under, F.concat(title, F.lit(": final synthesis may be under-preserving key chapter material ("), F.array_join(F.slice("_lost", 1, 2), "; "), F.lit(")"))),
-            (here & ~under & (F.col("_cues") > 0) & (F.size("_lost") == F.col("_cues")), F.concat(title, F.lit(": none of the chapter preservation cues appear in the final synthesis"))),
+            (~here, F.concat(F.lit(_SAID["chapter_missing"]), title)),
+            (here & (weight <= 2) & (length > 170), F.concat(title, F.lit(_SAID["chapter_over_expanded"]))),
+            (here & (weight >= 4) & (length < 110), F.concat(title, F.lit(_SAID["chapter_compressed"]))),
+            (here & ~t.shares_tokens(F.col("told"), payloads.chapter_pool()), F.concat(title, F.lit(_SAID["chapter_ungrounded"]))),
+            (here & under, F.concat(title, F.lit(_SAID["chapter_cues_lost"]), F.array_join(F.slice("_lost", 1, 2), "; "), F.lit(")"))),
+            (here & ~under & (F.col("_cues") > 0) & (F.size("_lost") == F.col("_cues")), F.concat(title, F.lit(_SAID["chapter_cues_none"]))),
         ],
     )
     extra = told.where(F.col("chapter_title") != "").join(chapters.select("doc_id", "chapter_title"), ["doc_id", "chapter_title"], "left_anti")
-    unexpected = extra.select("doc_id", F.lit("final").alias("scope"), title.alias("item"), F.lit(6).alias("ord"), F.concat(F.lit("final summary includes an unexpected chapter title: "), title).alias("warning"))
+    unexpected = extra.select("doc_id", F.lit("final").alias("scope"), title.alias("item"), F.lit(6).alias("ord"), F.concat(F.lit(_SAID["chapter_unexpected"]), title).alias("warning"))
     examples = finals.select("doc_id", F.explode(strings("notable_examples")).alias("item"))
     source = chapters.select("doc_id", F.explode(F.concat(strings("notable_examples"), strings("story_progression"))).alias("text"))
-    loose = ungrounded(examples, source).select("doc_id", F.lit("final").alias("scope"), "item", F.lit(7).alias("ord"), F.concat(F.lit("final notable example may not be grounded in chapter examples: "), F.col("item")).alias("warning"))
+    loose = ungrounded(examples, source).select("doc_id", F.lit("final").alias("scope"), "item", F.lit(7).alias("ord"), F.concat(F.lit(_SAID["example_ungrounded"]), F.col("item")).alias("warning"))
     return about_whole.unionByName(about_chapters).unionByName(unexpected).unionByName(loose)
 
 

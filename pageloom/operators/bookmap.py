@@ -69,14 +69,14 @@ def map_review(profiles: DataFrame, chapters: DataFrame) -> DataFrame:
     mixes = F.exists(labels, t.is_supplemental_label) & F.exists(labels, lambda x: ~t.is_supplemental_label(x))
     mixed = (F.col("packet_kind") == "mixed") & (F.col("priority_weight") >= 3)
     of_packet = F.array(
-        F.when(mixes, F.concat("packet_id", F.lit(": packet mixes likely supplemental/endmatter sections with core chapter material; consider splitting earlier"))),
-        F.when(mixed, F.concat("packet_id", F.lit(": packet is still classified as mixed at priority "), weight, F.lit("; review weighting before summarizing"))),
+        F.when(mixes, F.concat("packet_id", F.lit(fixed.AUDIT_SENTENCES["packet_mixes"]))),
+        F.when(mixed, F.concat("packet_id", F.lit(fixed.AUDIT_SENTENCES["packet_mixed"]), weight, F.lit(fixed.AUDIT_SENTENCES["packet_mixed_end"]))),
     )
     of_chapter = F.array(
-        F.when((F.col("chapter_kind") == "mixed") & (F.col("priority_weight") >= 3), F.concat("chapter_title", F.lit(": chapter remains mixed in the map; summaries may need extra proportion judgment"))),
+        F.when((F.col("chapter_kind") == "mixed") & (F.col("priority_weight") >= 3), F.concat("chapter_title", F.lit(fixed.AUDIT_SENTENCES["chapter_mixed"]))),
         F.when(
             F.col("chapter_kind").isin(*fixed.DOCUMENTARY) & (F.col("priority_weight") >= 4),
-            F.concat("chapter_title", F.lit(": chapter is classified as documentary despite high priority; review upstream packet splitting or weighting")),
+            F.concat("chapter_title", F.lit(fixed.AUDIT_SENTENCES["chapter_documentary"])),
         ),
     )
     packets = profiles.select("doc_id", F.lit("packet").alias("scope"), F.col("packet_id").alias("item"), F.posexplode(of_packet).alias("ord", "warning"))

@@ -201,8 +201,8 @@ class Job:
             asked = prompts.groupBy("doc_id").agg(F.count(F.lit(1)).alias(f"expected_{stage}_count"))
             counted = docs.join(made, "doc_id", "left").join(asked, "doc_id", "left").fillna(0)
             n, m = F.col(f"{stage}_output_count"), F.col(f"expected_{stage}_count")
-            found.append(whole(counted.where(n != m), stage, F.concat(F.lit(f"{what} output count mismatch: expected "), m.cast("string"), F.lit(", found "), n.cast("string"))))
-            found.append(whole(counted.where("_legacy > 0"), stage, F.concat(F.col("_legacy").cast("string"), F.lit(f" {what} outputs still use the legacy schema and are being auto-enriched"))))
+            found.append(whole(counted.where(n != m), stage, F.concat(F.lit(what + fixed.AUDIT_SENTENCES["count_mismatch"]), m.cast("string"), F.lit(", found "), n.cast("string"))))
+            found.append(whole(counted.where("_legacy > 0"), stage, F.concat(F.col("_legacy").cast("string"), F.lit(f" {what}{fixed.AUDIT_SENTENCES['legacy_count']}"))))
             stats = stats.join(counted.drop("_legacy"), "doc_id")
         chunks = payloads.enrich_chunks(self.outputs("chunk"), s.profiles, s.chapters)
         chapters = payloads.enrich_chapters(self.outputs("chapter"), s.chapters)
@@ -210,13 +210,13 @@ class Job:
         found += [au.chunk_findings(chunks), au.chapter_findings(chapters), au.final_findings(typed, chapters, s.profiles)]
         prepared = (self.prompts("chapter") or self._spark.createDataFrame([], "doc_id string")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
         uneven = typed.join(prepared, "doc_id", "left").where(F.size("chapter_summaries") != F.coalesce("_n", F.lit(0)))
-        found.append(whole(uneven, "final", F.lit("final summary chapter count does not match prepared chapter count")))
-        found.append(whole(docs.join(finals, "doc_id", "left_anti"), "final", F.lit("final output is missing")))
-        found.append(whole(docs.join(verified, "doc_id", "left_anti"), "verify", F.lit("verify output is missing")))
+        found.append(whole(uneven, "final", F.lit(fixed.AUDIT_SENTENCES["prepared_count"])))
+        found.append(whole(docs.join(finals, "doc_id", "left_anti"), "final", F.lit(fixed.AUDIT_SENTENCES["final_missing"])))
+        found.append(whole(docs.join(verified, "doc_id", "left_anti"), "verify", F.lit(fixed.AUDIT_SENTENCES["verify_missing"])))
         issues = F.size(F.from_json("payload", payloads.ISSUES_TYPE)["issues"])
         listed = verified.select("doc_id", issues.cast("long").alias("verification_issue_count"), payloads.project_to_schema(F.col("payload"), "final").alias("_v"))
         same = listed.where("verification_issue_count > 0").join(finals.select("doc_id", payloads.project_to_schema(F.col("payload"), "final").alias("_f")), "doc_id").where("_v = _f")
-        found.append(whole(same, "verify", F.lit("verify output lists issues but leaves the final summary unchanged")))
+        found.append(whole(same, "verify", F.lit(fixed.AUDIT_SENTENCES["verify_unchanged"])))
         findings = reduce(DataFrame.unionByName, found)
         counted = findings.where("scope not in ('packet') or ord < 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("warning_count"))
         return findings, stats.join(listed.drop("_v"), "doc_id", "left").join(counted, "doc_id", "left").fillna(0)
