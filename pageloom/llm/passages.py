@@ -3,7 +3,7 @@
 Every run of ``words`` words is a window.  It names an anchor: the leftmost of its GRAM_WORDS-word strings with the least
 hash.  Equal windows have equal anchors, so only windows under an anchor that occurs in different texts can repeat;
 a first pass sends anchors alone, a second the windows' hashes of texts that share one.  Windows under an anchor of very
-many texts are dealt by their hashes into parts, so no anchor is one task's.
+many texts are dealt in parts, so no anchor is one task's.
 
 Defined cases: a text with fewer words has no passage; null texts have none; texts that are equal share all their words;
 words are compared as they are written, whatever white space stands between them.
@@ -28,7 +28,7 @@ SIEVE_SLOTS = 1 << 20
 #: Windows handled at once; only one longer text is cut there.
 STEP = 1 << 22
 #: Windows that a task compares, about, and texts under one anchor from which its windows are dealt out.
-TASK_WINDOWS, HOT_TEXTS = 200_000, 2000
+TASK_WINDOWS, HOT_TEXTS = 400_000, 20_000
 #: Shared anchors up to this many are sent to every task.
 BROADCAST_ANCHORS = 500_000
 
@@ -80,10 +80,10 @@ def word_strings(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def windows(piece: Piece, words: int) -> tuple[np.ndarray, ...]:
-    """(document, anchor, first window, last window, hashes of all windows): runs of windows with one anchor; window
-    numbers count within the document, and the hashes follow each other run by run."""
+    """(document, anchor, first window, last window, words from the first window to the anchor, hashes of all windows): runs
+    of windows with one anchor; window numbers count within the document, and the hashes follow each other run by run."""
     h, bounds, gram = piece.word_hashes(), piece.word_bounds, min(GRAM_WORDS, words)
-    found = [tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)]
+    found = [tuple(np.zeros(0, np.int64) for _ in range(5)) + (np.zeros(0, np.uint64),)]
     place = np.uint64((1 << 24) - 1)
     for at in range(0, len(h) - words + 1, STEP):
         part = h[at : at + STEP + words - 1]
@@ -99,7 +99,7 @@ def windows(piece: Piece, words: int) -> tuple[np.ndarray, ...]:
         first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
         base = bounds[doc[first]]
-        found.append((doc[first], grams[anchor[first]].view(np.int64), starts[first] - base, starts[last] - base, word_strings(part, words)[starts - at]))
+        found.append((doc[first], grams[anchor[first]].view(np.int64), starts[first] - base, starts[last] - base, anchor[first] + at - starts[first], word_strings(part, words)[starts - at]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -111,7 +111,7 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch.column(1)):
-                doc, anchor, _, _, _ = windows(piece, words)
+                doc, anchor, *_ = windows(piece, words)
                 count = np.maximum(np.diff(piece.word_bounds) - words + 1, 0)
                 # One row more per text, without an anchor, with how many windows it has: for texts that are equal.
                 whole = np.flatnonzero(count)
@@ -128,45 +128,54 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
     per_anchor = named.groupBy("anchor").agg(F.min("a").alias("_a"), F.max("a").alias("_b"), F.count(F.lit(1)).alias("texts"))
     shared = cut_lineage(per_anchor.where("_a <> _b").select("anchor", "texts"))
     # Joined where they are while they are few, by a shuffle beyond.
-    anchors_shared, total = shared.agg(F.count(F.lit(1)), F.sum("texts")).first()
+    anchors_shared, total, most = shared.agg(F.count(F.lit(1)), F.sum("texts"), F.max("texts")).first()
     small = F.broadcast(shared) if anchors_shared <= BROADCAST_ANCHORS else shared
     sharing = cut_lineage(found.where("not whole").join(small, "anchor", "left_semi").select("text_key").distinct())
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
+            # Copies are looked at once a task.
+            keys = list(zip(*(batch.column(0).field(c).to_pylist() for c in (0, 1)), strict=True))
+            fresh = []
+            for k, key in enumerate(keys):
+                if key not in seen:
+                    seen.add(key)
+                    fresh.append(k)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             for piece in pieces(batch.column(1)):
-                doc, anchor, first, last, codes = windows(piece, words)
-                ends = np.cumsum(last - first + 1) * 8
-                raw = codes.tobytes()
-                blobs = [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if len(doc) else []
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(piece.first_row + doc)), pa.array(anchor), pa.array(first), pa.array(blobs, pa.binary())], ["text_key", "anchor", "first", "windows"]
-                )
+                doc, anchor, first, last, lead, codes = windows(piece, words)
+                ends = np.concatenate([[0], np.cumsum(last - first + 1) * 8]).astype(np.int32)
+                blobs = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(codes.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(piece.first_row + doc)), pa.array(anchor), pa.array(first), pa.array(lead), blobs], ["text_key", "anchor", "first", "lead", "windows"])
 
-    texts = rows.join(sieve(sharing, "text_key"), slot("text_key") == F.col("_slot"), "left_semi").dropDuplicates(["text_key"])
-    met = texts.mapInArrow(releasing(hashes), f"{TEXT_KEY}, anchor long, first long, windows binary").join(small, "anchor")
+    texts = rows.join(sieve(sharing, "text_key"), slot("text_key") == F.col("_slot"), "left_semi")
+    met = texts.mapInArrow(releasing(hashes), f"{TEXT_KEY}, anchor long, first long, lead long, windows binary").join(small, "anchor")
     tasks = max(1, int(total or 0) * words // 4 // TASK_WINDOWS + 1)
+    leads = words - min(GRAM_WORDS, words) + 1
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows to tasks by anchor; of hot anchors, every window to a task by its hash."""
-        names = ["text_key", "task", "first", "windows", "starts"]
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of hot anchors in parts.  Equal windows lie equally far before their anchor, so a part is a range of that
+        distance, which keeps runs together; beyond as many parts, each distance is dealt by the windows' hashes."""
+        names = ["text_key", "anchor", "first", "windows"]
         for batch in batches:
-            hot = batch.column(4).to_numpy() > HOT_TEXTS
-            task = (mix64(batch.column(1).to_numpy().view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
-            if not hot.all():
-                calm = batch.filter(pa.array(~hot))
-                yield pa.RecordBatch.from_arrays([calm.column(0), pa.array(task[~hot]), calm.column(2), calm.column(3), pa.nulls(len(calm), pa.binary())], names)
+            count = batch.column(5).to_numpy()
+            hot = count > HOT_TEXTS
+            calm = batch.filter(pa.array(~hot))
+            yield pa.RecordBatch.from_arrays([calm.column(c) for c in (0, 1, 2, 4)], names)
             for k in np.flatnonzero(hot).tolist():
-                # As many parts as the anchor has texts too many, each somewhere else.
-                codes = np.frombuffer(batch.column(3)[k].as_py(), np.uint64)
-                part = codes % np.uint64(-(-batch.column(4)[k].as_py() // HOT_TEXTS))
-                found = np.unique(part)
-                parts = [np.flatnonzero(part == p) for p in found]
-                own = (mix64(batch.column(1).to_numpy()[k : k + 1].view(np.uint64) + found + np.uint64(1)) % np.uint64(tasks)).astype(np.int64)
+                codes = np.frombuffer(batch.column(4)[k].as_py(), np.uint64)
+                wanted = int(-(-count[k] // HOT_TEXTS))
+                part = (batch.column(3)[k].as_py() - np.arange(len(codes))) * min(wanted, leads) // leads
+                if wanted > leads:
+                    part = part * (-(-wanted // leads)) + (codes % np.uint64(-(-wanted // leads))).astype(np.int64)
+                begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                end = np.append(begin[1:], len(codes))
+                anchor = batch.column(1).to_numpy()[k : k + 1].view(np.uint64) + mix64(part[begin].astype(np.uint64) + np.uint64(1))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(np.full(len(own), k))), pa.array(own), pa.array(np.zeros(len(own), np.int64)),
-                        pa.array([codes[x].tobytes() for x in parts], pa.binary()), pa.array([(x + batch.column(2)[k].as_py()).astype(np.int64).tobytes() for x in parts], pa.binary()),
+                        batch.column(0).take(pa.array(np.full(len(begin), k))), pa.array(anchor.view(np.int64)), pa.array(begin + batch.column(2)[k].as_py()),
+                        pa.array([codes[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()),
                     ],
                     names,
                 )
@@ -179,9 +188,6 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
         size, first = np.array([len(c) for c in codes]), table.column("first").to_numpy()
         row = np.repeat(np.arange(len(size)), size)
         code, start = np.concatenate(codes), repeat_ranges(first, size)
-        ends = np.cumsum(size)
-        for k in np.flatnonzero(table.column("starts").is_valid().to_numpy()).tolist():
-            start[ends[k] - size[k] : ends[k]] = np.frombuffer(table.column("starts")[k].as_py(), np.int64)
         a, b = (key.field(c).to_numpy() for c in (0, 1))
         _, text = np.unique(np.stack([a, b], 1), axis=0, return_inverse=True)
         text = text.ravel()[row]
@@ -196,7 +202,9 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
         at[text] = row
         return pa.table([key.take(pa.array(at[owner])), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["text_key", "lo", "hi"])
 
-    marks = met.select("text_key", "anchor", "first", "windows", "texts").mapInArrow(releasing(deal), f"{TEXT_KEY}, task long, first long, windows binary, starts binary")
-    marks = marks.groupBy("task").applyInArrow(repeated, f"{TEXT_KEY}, lo long, hi long").unionByName(copies)
+    if (most or 0) > HOT_TEXTS:
+        met = met.select("text_key", "anchor", "first", "lead", "windows", "texts").mapInArrow(releasing(split), f"{TEXT_KEY}, anchor long, first long, windows binary")
+    dealt = met.select("text_key", F.pmod(F.xxhash64("anchor"), F.lit(tasks)).alias("task"), "first", "windows")
+    marks = dealt.groupBy("task").applyInArrow(repeated, f"{TEXT_KEY}, lo long, hi long").unionByName(copies)
     run = F.struct(F.col("lo").alias("start"), (F.col("hi") + words).alias("end"))
     return marks.groupBy("text_key").agg(F.array_sort(F.collect_set(run)).alias("passages"))
