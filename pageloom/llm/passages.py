@@ -3,7 +3,7 @@
 Every run of ``words`` words is a window.  It names an anchor: the leftmost of its GRAM_WORDS-word strings with the least
 hash.  Equal windows have equal anchors, so only windows under an anchor that occurs in different texts can repeat;
 a first pass sends anchors alone, a second the windows' hashes of texts that share one.  Windows under an anchor of very
-many texts are dealt in parts, so no anchor is one task's.
+many texts are combined where they are and dealt in parts, so no anchor is one task's.
 
 Defined cases: a text with fewer words has no passage; null texts have none; texts that are equal share all their words;
 words are compared as they are written, whatever white space stands between them.
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,10 +81,10 @@ def word_strings(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def windows(piece: Piece, words: int) -> tuple[np.ndarray, ...]:
-    """(document, anchor, first window, last window, words from the first window to the anchor, hashes of all windows): runs
-    of windows with one anchor; window numbers count within the document, and the hashes follow each other run by run."""
+    """(document, anchor, first window, last window, hashes of all windows): runs of windows with one anchor; window
+    numbers count within the document, and the hashes follow each other run by run."""
     h, bounds, gram = piece.word_hashes(), piece.word_bounds, min(GRAM_WORDS, words)
-    found = [tuple(np.zeros(0, np.int64) for _ in range(5)) + (np.zeros(0, np.uint64),)]
+    found = [tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)]
     place = np.uint64((1 << 24) - 1)
     for at in range(0, len(h) - words + 1, STEP):
         part = h[at : at + STEP + words - 1]
@@ -99,7 +100,7 @@ def windows(piece: Piece, words: int) -> tuple[np.ndarray, ...]:
         first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
         base = bounds[doc[first]]
-        found.append((doc[first], grams[anchor[first]].view(np.int64), starts[first] - base, starts[last] - base, anchor[first] + at - starts[first], word_strings(part, words)[starts - at]))
+        found.append((doc[first], grams[anchor[first]].view(np.int64), starts[first] - base, starts[last] - base, word_strings(part, words)[starts - at]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -144,45 +145,50 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
                     fresh.append(k)
             batch = batch.take(pa.array(fresh, pa.int64()))
             for piece in pieces(batch.column(1)):
-                doc, anchor, first, last, lead, codes = windows(piece, words)
+                doc, anchor, first, last, codes = windows(piece, words)
                 ends = np.concatenate([[0], np.cumsum(last - first + 1) * 8]).astype(np.int32)
                 blobs = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(codes.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(piece.first_row + doc)), pa.array(anchor), pa.array(first), pa.array(lead), blobs], ["text_key", "anchor", "first", "lead", "windows"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(piece.first_row + doc)), pa.array(anchor), pa.array(first), blobs], ["text_key", "anchor", "first", "windows"])
 
     texts = rows.join(sieve(sharing, "text_key"), slot("text_key") == F.col("_slot"), "left_semi")
-    met = texts.mapInArrow(releasing(hashes), f"{TEXT_KEY}, anchor long, first long, lead long, windows binary").join(small, "anchor")
+    met = texts.mapInArrow(releasing(hashes), f"{TEXT_KEY}, anchor long, first long, windows binary").join(small, "anchor")
     tasks = max(1, int(total or 0) * words // 4 // TASK_WINDOWS + 1)
-    leads = words - min(GRAM_WORDS, words) + 1
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of hot anchors in parts.  Equal windows lie equally far before their anchor, so a part is a range of that
-        distance, which keeps runs together; beyond as many parts, each distance is dealt by the windows' hashes."""
-        names = ["text_key", "anchor", "first", "windows"]
+        """Runs of hot anchors, combined before they are dealt: of a window that two texts of this task have, no third one is
+        sent on, it is a mark at once; what is sent on goes to as many parts as the anchor needs, by the windows' hashes."""
+        names = ["text_key", "anchor", "first", "last", "windows"]
+        seen: dict[int, tuple[int, int] | None] = {}
         for batch in batches:
-            count = batch.column(5).to_numpy()
+            count = batch.column(4).to_numpy()
             hot = count > HOT_TEXTS
             calm = batch.filter(pa.array(~hot))
-            yield pa.RecordBatch.from_arrays([calm.column(c) for c in (0, 1, 2, 4)], names)
+            yield pa.RecordBatch.from_arrays([calm.column(0), calm.column(1), calm.column(2), calm.column(2), calm.column(3)], names)
+            out: list[tuple[int, int, int, int, bytes | None]] = []
             for k in np.flatnonzero(hot).tolist():
-                codes = np.frombuffer(batch.column(4)[k].as_py(), np.uint64)
-                wanted = int(-(-count[k] // HOT_TEXTS))
-                part = (batch.column(3)[k].as_py() - np.arange(len(codes))) * min(wanted, leads) // leads
-                if wanted > leads:
-                    part = part * (-(-wanted // leads)) + (codes % np.uint64(-(-wanted // leads))).astype(np.int64)
-                begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                end = np.append(begin[1:], len(codes))
-                anchor = batch.column(1).to_numpy()[k : k + 1].view(np.uint64) + mix64(part[begin].astype(np.uint64) + np.uint64(1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(np.full(len(begin), k))), pa.array(anchor.view(np.int64)), pa.array(begin + batch.column(2)[k].as_py()),
-                        pa.array([codes[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()),
-                    ],
-                    names,
-                )
+                key, anchor, first = batch.column(0)[k].as_py(), int(batch.column(1)[k].as_py()), int(batch.column(2)[k].as_py())
+                text, codes = (key["a"], key["b"]), np.frombuffer(batch.column(3)[k].as_py(), np.uint64)
+                sent = np.zeros(len(codes), bool)
+                for i, code in enumerate(codes.tolist()):
+                    other = seen.setdefault(code, text)
+                    sent[i] = other is not None
+                    if sent[i] and other != text:
+                        seen[code] = None
+                part = np.where(sent, (codes % np.uint64(-(-int(count[k]) // HOT_TEXTS))).astype(np.int64), -1)
+                begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist()
+                for x, y in zip(begin, [*begin[1:], len(codes)], strict=True):
+                    to = int(mix64(np.array([anchor], np.int64).view(np.uint64) + np.uint64(part[x]))[0].view(np.int64)) if part[x] >= 0 else text[0]
+                    out.append((k, to, first + x, first + y - 1, codes[x:y].tobytes() if part[x] >= 0 else None))
+            if out:
+                rows_of, to, lo, hi, blobs = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows_of, pa.int64())), *(pa.array(x, pa.int64()) for x in (to, lo, hi)), pa.array(blobs, pa.binary())], names)
 
     def repeated(table: pa.Table) -> pa.Table:
-        """Windows that two texts have, as ranges of each text."""
-        table = table.combine_chunks()
+        """Windows that two texts have, as ranges of each text; marks are passed on."""
+        told = table.filter(pc.is_null(table.column("windows"))).select(["text_key", "first", "last"]).rename_columns(["text_key", "lo", "hi"])
+        table = table.filter(pc.is_valid(table.column("windows"))).combine_chunks()
+        if not table.num_rows:
+            return told
         key = table.column("text_key").combine_chunks()
         codes = [np.frombuffer(w, np.uint64) for w in table.column("windows").to_pylist()]
         size, first = np.array([len(c) for c in codes]), table.column("first").to_numpy()
@@ -200,11 +206,15 @@ def shared_passages(docs: DataFrame, words: int = 50) -> DataFrame:
         owner, lo, hi = ranges_of(text[order], start[order])
         at = np.zeros(int(text.max(initial=-1)) + 1, np.int64)
         at[text] = row
-        return pa.table([key.take(pa.array(at[owner])), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["text_key", "lo", "hi"])
+        found = pa.table([key.take(pa.array(at[owner])), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["text_key", "lo", "hi"])
+        return pa.concat_tables([told, found.cast(told.schema)])
 
+    met = met.select("text_key", "anchor", "first", "windows", "texts")
     if (most or 0) > HOT_TEXTS:
-        met = met.select("text_key", "anchor", "first", "lead", "windows", "texts").mapInArrow(releasing(split), f"{TEXT_KEY}, anchor long, first long, windows binary")
-    dealt = met.select("text_key", F.pmod(F.xxhash64("anchor"), F.lit(tasks)).alias("task"), "first", "windows")
+        met = met.mapInArrow(releasing(split), f"{TEXT_KEY}, anchor long, first long, last long, windows binary")
+    else:
+        met = met.withColumn("last", F.col("first"))
+    dealt = met.select("text_key", F.pmod(F.xxhash64("anchor"), F.lit(tasks)).alias("task"), "first", "last", "windows")
     marks = dealt.groupBy("task").applyInArrow(repeated, f"{TEXT_KEY}, lo long, hi long").unionByName(copies)
     run = F.struct(F.col("lo").alias("start"), (F.col("hi") + words).alias("end"))
     return marks.groupBy("text_key").agg(F.array_sort(F.collect_set(run)).alias("passages"))
