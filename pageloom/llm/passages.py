@@ -97,10 +97,12 @@ def windows(piece: Piece, words: int) -> tuple[np.ndarray, ...]:
         if not len(valid):
             continue
         starts, doc, anchor = starts[valid], doc[valid], anchor[valid]
+        # By the anchor's hash, not its place: words that go round and round are one run.
+        anchor = grams[anchor].view(np.int64)
         first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
         base = bounds[doc[first]]
-        found.append((doc[first], grams[anchor[first]].view(np.int64), starts[first] - base, starts[last] - base, word_strings(part, words)[starts - at]))
+        found.append((doc[first], anchor[first], starts[first] - base, starts[last] - base, word_strings(part, words)[starts - at]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
