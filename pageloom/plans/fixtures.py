@@ -1,4 +1,4 @@
-"""Books derived from ``documents``: one Markdown text per source, with headings, and optionally scan noise."""
+"""Markdown derived from ``documents``: one Markdown text per source, with headings, and optionally scan noise."""
 
 from __future__ import annotations
 

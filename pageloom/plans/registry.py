@@ -53,7 +53,7 @@ b AS ({markdown_sql(noise)}),
 ls AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM b)"""
 
 
-#: Spaced hash marks do not occur in the books; a blank is put after the longest mark that leaves one over.
+#: Spaced hash marks do not occur in these texts; a blank is put after the longest mark that leaves one over.
 _NORM = r"regexp_replace(regexp_replace({0}, '^(#{{1,6}})([^\s])', '\1 \2'), '\s+$', '')"
 _BARE = _STRIP.format(r"regexp_replace(regexp_replace({0}, '^\s*#{{1,6}}\s*', ''), '^\s*(?:[-+*•]|[0-9]{{1,3}}[.)]|[A-Za-z][.)])\s*', '')")
 _KEYED = f"""
@@ -422,7 +422,7 @@ def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of the books: headings as parsed, numbers of titles dropped, everything else a paragraph."""
+    """Blocks of the texts: headings as parsed, numbers of titles dropped, everything else a paragraph."""
     raw = blocks.raw_blocks(src.read_lines(markdown(spark, sf_dir)))
     line = F.get("lines", F.lit(0))
     level = t.heading_level(line)
@@ -498,7 +498,7 @@ def paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query()
-def normalized_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+def normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return norm.normalize(markdown(spark, sf_dir, noise=True))
 
 

@@ -27,7 +27,7 @@ class Failing(payloads.ModelClient):
 
 @pytest.fixture(scope="module")
 def folder(tmp_path_factory):
-    path = tmp_path_factory.mktemp("books")
+    path = tmp_path_factory.mktemp("texts")
     for name, text in TEXTS.items():
         (path / f"{name}.md").write_text(text)
     return path
