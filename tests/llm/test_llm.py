@@ -225,6 +225,28 @@ def test_search(docs, empty):
     assert top_k(empty, F.lit(True)).count() == 0
 
 
+def test_search_moves_queries_by_task_and_not_by_shard(docs, monkeypatch):
+    wanted = top_k(docs, F.col("doc_id") % 5 == 0, 4).orderBy("query_id", "rank").collect()
+    sent, dealt = [], search.dealt_rows
+
+    def counted(*args):
+        sent.append((dealt(*args), *args[2:]))
+        return sent[-1][0]
+
+    monkeypatch.setattr(search, "dealt_rows", counted)
+    monkeypatch.setattr(search, "QUERY_RUN", 3)
+    for rows, least, per_core, tasks in ((2, 3, 0, 3), (1, 1, 0, 1), (5, 1, 1, 4)):
+        monkeypatch.setattr(search, "SHARD_ROWS", rows)
+        monkeypatch.setattr(search, "LEAST_TASKS", least)
+        monkeypatch.setattr(search, "TASKS_PER_CORE", per_core)
+        # Shards of few rows, several to a task: the same rows, ranks and scores, ties included.
+        assert top_k(docs, F.col("doc_id") % 5 == 0, 4).orderBy("query_id", "rank").collect() == wanted
+        found, shards, used = sent[-1]
+        queries = found.where("shard < 0")
+        assert used == tasks < shards and queries.count() == tasks * queries.select("id").distinct().count() > 0
+        assert found.where("shard >= 0").count() == docs.count()
+
+
 def test_block_bounds_skip_rows_and_give_the_same_top():
     rng = np.random.default_rng(8)
     count, terms = 3000, 400
