@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.llm import lm, lm_match, lm_words
+from pageloom.llm import lm, lm_lead, lm_match, lm_words
 
 CODE = lm_words.Code(np.bincount(np.frombuffer(b"abcabcabc  defu/", np.uint8), minlength=256))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, target double, row long, block long"
@@ -209,3 +209,78 @@ def test_bits_before_words_against_plain_python():
         wanted = plain_bits(like, own)
         assert [(a, number[b], c) for a, b, c, _ in wanted] == [g[:3] for g in got]
         assert np.allclose([x[3] for x in wanted], [g[3] for g in got])
+
+
+def test_hashed_contexts_count_every_occurrence():
+    names, counts = [b"ab", b"ac", b"b"], np.array([[3, 0, 2, 0], [1, 0, 0, 0], [0, 4, 0, 0]])
+    out = tables_of(lm_words.Words(names, counts, np.zeros(3, int), CODE))
+    bits = [sum(int(CODE.length[CODE.rank[b]]) for b in name + b" ") for name in names]
+    for t in range(len(lm_words.ORDERS)):
+        assert out[lm_words.Layout.starts[t] : lm_words.Layout.starts[t + 1]].sum() == sum(b * n for b, n in zip(bits, counts.sum(1), strict=True))
+    for c in range(lm_words.CLASSES):
+        t = lm_words.Layout.of_class + c
+        assert out[lm_words.Layout.starts[t] : lm_words.Layout.starts[t + 1]].sum() == sum(b * n for b, n in zip(bits, counts[:, c], strict=True))
+
+
+def piece_of(texts):
+    import pyarrow as pa
+
+    (piece,) = lm.pieces(pa.array(texts), 1 << 20)
+    return lm.lowered(piece)
+
+
+@pytest.mark.parametrize("lead", [1, 3])
+def test_lead_contexts_are_those_of_plain_counting(monkeypatch, lead):
+    assert lm_lead.END == 1 << 24 | 0x20 << 8 * (lm_lead.LEAD - 1)
+    monkeypatch.setattr(lm_lead, "LEAD", lead)
+    monkeypatch.setattr(lm_lead, "END", np.uint32(1 << 24 | 0x20 << 8 * (lead - 1)))
+    monkeypatch.setattr(lm_lead, "AT_ONCE", 50)
+    monkeypatch.setattr(lm_lead, "BITS", [20] * len(lm_lead.BITS))
+    monkeypatch.setattr(lm_lead, "STARTS", np.arange(len(lm_lead.BITS) + 1) << 20)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["a", "Bc", "abc", "defabcd", "cab", "efabcd"]) for _ in range(rng.randint(0, 40))) for _ in range(12)]
+    wanted = [Counter() for _ in lm_lead.BITS]
+    for text in texts:
+        before = None
+        for word in [*words(text), b""]:
+            past, so_far = b" " * 6 if before is None else (b" " * 6 + before + b" ")[-6:], b""
+            for byte in (word + b" ")[:lead]:
+                symbol = CODE.rank[byte]
+                spelled = f"{CODE.bits[symbol]:0{CODE.length[symbol]}b}"
+                for j, bit in enumerate(spelled):
+                    contexts = [*((past + so_far)[-n:] for n in lm_lead.ORDERS), so_far, (before, so_far)]
+                    for count, context in zip(wanted, contexts, strict=True):
+                        count[context, spelled[:j], bit] += 1
+                so_far += bytes([byte])
+            before = word
+    low = piece_of(texts)
+    _, leads, n = lm_lead.distinct(lm_lead.text_leads(low, low.word_hashes()))
+    out = np.zeros((len(lm_lead.BITS) << 20, 2), np.int32)
+    lm_lead.count_leads(leads, n, CODE, out)
+    for t, count in enumerate(wanted):
+        got = out[t << 20 : (t + 1) << 20].ravel()
+        assert sorted(got[got > 0].tolist()) == sorted(count.values())
+
+
+def test_leads_are_a_distribution_that_knows_the_word_before():
+    low = piece_of(["abc fed abc fed abc fed def cab def cab"] * 20)
+    _, leads, n = lm_lead.distinct(lm_lead.text_leads(low, low.word_hashes()))
+    out = np.zeros((lm_lead.TOTAL, 2), np.int32)
+    lm_lead.count_leads(leads, n, CODE, out)
+    tables, mixer = lm_lead.LeadTables(out), lm_lead.new_mixer()
+    lm_lead.learn_leads(leads, n, CODE, tables, mixer)
+    some = leads.take(np.repeat(np.arange(len(leads)), 256))
+    some.lead = np.tile(np.uint32(1 << 24) | np.arange(256, dtype=np.uint32) << np.uint32(8 * (lm_lead.LEAD - 1)), len(leads))
+    chance = np.exp(lm_lead.lead_scores(some, CODE, tables, mixer)).reshape(-1, 256)
+    assert np.allclose(chance.sum(1), 1, atol=1e-5)
+    after = {chr(leads.back[k] >> np.uint64(8) & np.uint64(255)): chance[k] for k in range(len(leads))}
+    assert after["c"][ord("f")] > 0.5 > after["b"][ord("f")]
+
+
+def test_the_word_before_counts(spark):
+    # Two words each, so that no bit before a word tells one from the other; a row in five is held out.
+    pairs = [("north", "apple"), ("south", "berry")]
+    texts = [" ".join(pairs[k % 2]) for k in range(200)]
+    texts[5], texts[10] = "north apple", "north berry"
+    got = {r.doc_id: r for r in lm.score_texts(frame(spark, texts), F.col("doc_id") % 5 != 0).collect()}
+    assert abs(got[5].base_score - got[10].base_score) < 0.1 and got[5].score > got[10].score + 0.5
