@@ -284,3 +284,43 @@ def test_the_word_before_counts(spark):
     texts[5], texts[10] = "north apple", "north berry"
     got = {r.doc_id: r for r in lm.score_texts(frame(spark, texts), F.col("doc_id") % 5 != 0).collect()}
     assert abs(got[5].base_score - got[10].base_score) < 0.1 and got[5].score > got[10].score + 0.5
+
+
+def test_bits_that_words_share_are_walked_once():
+    rng = random.Random(8)
+    names = sorted({bytes(rng.choice(b"abcd") for _ in range(rng.randint(1, 7))) for _ in range(300)})
+    known = lm_words.Words(names, np.random.default_rng(2).integers(0, 4, (len(names), 4)), np.full(len(names), 3), CODE)
+    spelled = {b: f"{CODE.bits[CODE.rank[b]]:0{CODE.length[CODE.rank[b]]}b}" for b in range(256)}
+    bits = ["".join(spelled[b] for b in names[k] + b" ") for k in known.order]
+    wanted = {w[: j + 1] for w in bits for j in range(len(w))}
+    at, walked = np.zeros(len(names), int), 0
+    for low, high, bit, *_ in known.nodes():
+        walked += len(low)
+        for a, b, y in zip(low.tolist(), high.tolist(), bit.tolist(), strict=True):
+            assert {w[: at[a] + 1] for w in bits[a:b]} == {bits[a][: at[a]] + str(y)}
+            at[a:b] += 1
+    assert walked == len(wanted) < sum(map(len, bits)) / 2 and at.tolist() == [len(w) for w in bits]
+
+
+def test_tasks_walked_together_score_as_they_do_alone():
+    def row(names, counts):
+        return {
+            "m": len(names), "names": b"".join(names), "sizes": lm.planes(np.array([len(x) for x in names], np.int32)),
+            "depth": bytes([3] * len(names)), "counts": lm.planes(np.array(counts, np.int64).ravel()),
+        }
+
+    rows = [row([b"abcd", b"abce", b"xyz"], [[3, 1, 0, 0], [1, 0, 0, 2], [0, 0, 0, 0]]), row([b"abdd", b"aa", b""], [[5, 0, 0, 0], [0, 2, 0, 0], [9, 9, 9, 9]])]
+    out = np.zeros((lm_words.Layout.total, 2), np.int64)
+    for r in rows:
+        lm_words.count_tables(lm._loaded([r], CODE, True), out)
+    together = lm._loaded(rows, CODE, True)
+    assert (tables_of(together) == out).all()
+    tables, mixer = lm_words.Tables(out), lm_words.Mixer()
+
+    def scores(some):
+        known = lm._loaded(some, CODE, False)
+        logs = np.empty((len(known.sizes), lm_words.CLASSES))
+        logs[known.order] = lm_words.word_scores(known, tables, mixer)
+        return logs
+
+    assert np.allclose(scores(rows), np.concatenate([scores([r]) for r in rows]), atol=1e-5)
