@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions import fixed, text as t
+from pageloom.session import settled
 
 SEPARATOR = "\n\n---\n\n"
 
@@ -23,7 +24,7 @@ def greedy_parts(rows: DataFrame, by: list[str], order: str, size: str, target:
     group that has reached ``close_at`` takes no more.
 
     One pass over each partition's sorted numbers, which keeps three of them between rows, however many rows a
-    document has.
+    document has; rows are dealt by all of ``by``, so that a document with many groups is in many partitions.
     """
     fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
@@ -41,7 +42,7 @@ def greedy_parts(rows: DataFrame, by: list[str], order: str, size: str, target:
                 parts.append(part)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(parts, pa.int64())], [*by, order, "part"])
 
-    sorted_rows = rows.select(*by, order, size).repartition(by[0]).sortWithinPartitions(*by, order)
+    sorted_rows = rows.select(*by, order, size).repartition(*by).sortWithinPartitions(*by, order)
     return sorted_rows.mapInArrow(run, ", ".join(f"`{c}` {fields[c]}" for c in [*by, order]) + ", part long")
 
 
@@ -73,25 +74,32 @@ def large_section_parts(sections: DataFrame, target: int, most: int) -> DataFram
 
 
 def packets(sections: DataFrame, target: int = 6500, most: int = 8500) -> DataFrame:
-    """doc_id, packet_id, chapter_title, section_labels, raw_text, token_estimate, packet_no."""
-    placed = islands(with_flags(sections, most))
+    """doc_id, packet_id, chapter_title, section_labels, raw_text, token_estimate, packet_no.
+
+    Islands, sizes and packet numbers are worked out without texts, which are joined to them by section and by packet.
+    """
+    placed = settled(islands(with_flags(sections, most).select("doc_id", "pos", "chapter_title", "label", "is_doc", "is_supplemental", "is_big", "token_estimate")))
     small = greedy_parts(placed.where(~F.col("is_big")), ["doc_id", "island"], "pos", "token_estimate", target)
-    small = small.join(placed.select("doc_id", "pos", "label", "chapter_title", "raw_text"), ["doc_id", "pos"])
+    paragraphs = large_section_parts(sections, target, most)
+    first = small.groupBy("doc_id", "island", "part").agg(F.min("pos").alias("first"))
+    starts = first.select("doc_id", "first", "part").unionByName(paragraphs.select("doc_id", F.col("pos").alias("first"), "part").distinct())
+    numbers = starts.withColumn("packet_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("first", "part")).cast("long"))
+
+    told = small.join(placed.select("doc_id", "pos", "label", "chapter_title"), ["doc_id", "pos"]).join(sections.select("doc_id", "pos", "raw_text"), ["doc_id", "pos"])
     in_order = lambda column: F.transform(F.array_sort(F.collect_list(F.struct("pos", column))), lambda s: s[column])
-    gathered = small.groupBy("doc_id", "island", "part").agg(
+    gathered = told.groupBy("doc_id", "island", "part").agg(
         F.min("pos").alias("first"), F.min_by("chapter_title", "pos").alias("chapter_title"), in_order("label").alias("section_labels"),
         F.array_join(in_order("raw_text"), SEPARATOR).alias("raw_text"),
     )
-    parts = large_section_parts(sections, target, most).groupBy("doc_id", "pos", "part").agg(
+    parts = paragraphs.groupBy("doc_id", "pos", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "paragraph"))), lambda s: s["paragraph"]), "\n\n").alias("raw_text")
     )
     large = parts.join(sections.select("doc_id", "pos", "path", "chapter_title"), ["doc_id", "pos"]).select(
         "doc_id", F.col("pos").alias("first"), "part", "chapter_title",
         F.array(F.concat(F.array_join("path", " > "), F.lit(" (part "), F.col("part") + 1, F.lit(")"))).alias("section_labels"), "raw_text",
     )
-    every = gathered.select("doc_id", "first", "part", "chapter_title", "section_labels", "raw_text").unionByName(large)
-    no = F.row_number().over(Window.partitionBy("doc_id").orderBy("first", "part"))
-    return every.withColumn("packet_no", no.cast("long")).select(
+    every = gathered.select("doc_id", "first", "part", "chapter_title", "section_labels", "raw_text").unionByName(large).join(numbers, ["doc_id", "first", "part"])
+    return every.select(
         "doc_id", F.format_string("p%04d", "packet_no").alias("packet_id"), "chapter_title", "section_labels", "raw_text",
         t.token_estimate(F.col("raw_text")).alias("token_estimate"), "packet_no",
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import fixed, schemas, text as t
 from pageloom.operators import bookmap, packets as pk, payloads, sections as sec, work
+from pageloom.session import settled
 
 #: Our own wording of what each stage asks.
 INSTRUCTIONS = {
@@ -53,10 +54,11 @@ class Structure:
 
 def structure(docs: DataFrame, config: Config = Config(), titles: DataFrame | None = None) -> Structure:  # noqa: B008
     """What is known of documents before any model call."""
-    named = sec.book_titles(docs) if titles is None else titles
-    sections = sec.sections(docs, named)
-    packets = pk.packets(sections, config.target, config.most)
-    profiles = bookmap.packet_profiles(packets, named)
+    # Every later step reads these several times: they are written once.
+    named = settled(sec.book_titles(docs) if titles is None else titles)
+    sections = settled(sec.sections(docs, named))
+    packets = settled(pk.packets(sections, config.target, config.most))
+    profiles = settled(bookmap.packet_profiles(packets, named))
     return Structure(named, sections, packets, profiles, bookmap.chapter_profiles(profiles, sections))
 
 
@@ -80,7 +82,9 @@ def chunk_prompts(s: Structure, contract: str = "") -> DataFrame:
         F.lit("Book: "), F.col("book_title"), F.lit("\nPacket: "), F.col("packet_id"), F.lit("\nChapter: "), F.col("chapter_title"), F.lit("\nKind: "), F.col("packet_kind"),
         F.lit("\nPriority: "), F.col("priority_weight").cast("string"), F.lit("\nGuidance: "), F.col("detail_guidance"), F.lit("\nSections: "), F.array_join("section_labels", "; "), F.lit("\n\n"), F.col("raw_text"),
     )
-    rows = s.packets.join(s.profiles.drop("chapter_title", "packet_no"), ["doc_id", "packet_id"]).join(s.titles, "doc_id")
+    # Titles go to the profiles, so that texts are dealt by packet and not by document.
+    told = s.profiles.drop("chapter_title", "packet_no").join(s.titles, "doc_id")
+    rows = s.packets.join(told, ["doc_id", "packet_id"])
     return rows.select("doc_id", F.col("packet_id").alias("item_id"), _prompt("chunk", contract, user).alias("prompt"), chunk_template().alias("template"))
 
 
