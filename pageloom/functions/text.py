@@ -178,8 +178,9 @@ def leading_sentence(x: Column) -> Column:
 
 def significant_tokens(x: Column) -> Column:
     """Distinct ASCII words of four characters or more that are not stopwords."""
-    found = F.filter(F.regexp_extract_all(matching_text(x), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: F.length(w) >= 4)
-    return F.array_except(F.array_distinct(found), F.array(*map(F.lit, fixed.GROUNDING_STOPWORDS)))
+    # White space only parts words, and below U+0100 the sharp s alone folds to ASCII letters: most texts need no full folding.
+    folded = F.when(x.rlike(r"[^\x00-\xFF]"), casefold(x)).otherwise(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")))
+    return F.array_except(F.regexp_extract_all(folded, F.lit("[a-z0-9]{4,}"), F.lit(0)), F.array(*map(F.lit, fixed.GROUNDING_STOPWORDS)))
 
 
 def priority(kind: Column) -> Column:

@@ -1,5 +1,7 @@
 """Goldens of the text functions, each value worked out by hand."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +55,12 @@ def test_case_folding(spark):
     assert row.d == ["Straße", "x"]
 
 
+def test_significant_tokens(spark):
+    texts = ["Große STRASSE\tgroße  abc abcd", "ﬁnden İstanbul ſehr KelvinK ıabcd", "ÉTÉété\u2028with the 12345", "", "ﬁrst\xa0Ab12 AB12"]
+    plain = [list(dict.fromkeys(w for w in re.findall("[a-z0-9]+", " ".join(x.split()).casefold()) if len(w) >= 4 and w not in fixed.GROUNDING_STOPWORDS)) for x in texts]
+    assert values(spark, texts, t.significant_tokens) == plain
+
+
 def test_repair_comes_before_composition(spark):
     from pageloom.plans import normalize
 
