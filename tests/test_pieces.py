@@ -85,3 +85,13 @@ def test_many_headings(spark):
     heads = spark.range(n).select(F.lit("d").alias("doc_id"), F.col("id").alias("block_no"), F.lit("x").alias("text"), (F.col("id") % 4 + 1).cast("int").alias("level"), F.lit(True).alias("explicit"))
     got = blocks.heading_levels(heads.repartition(7)).groupBy("level").count().collect()
     assert {r.level: r["count"] for r in got} == {1: 1, 2: n // 2 - 1, 3: n // 4, 4: n // 4}
+
+
+def test_batches_to_python_are_bounded(spark, tmp_path):
+    from pageloom.plans import registry
+
+    spark.createDataFrame([(1, "é a")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("nfc_text", "fix_spacing"):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        assert registry.QUERIES[name](spark, str(tmp_path)).count() == 1
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 8 << 20
